@@ -120,7 +120,7 @@ def journal(spark: SparkSession, folder: str) -> DataFrame:
 
 _sql("sides", "ev", """SELECT DISTINCT user_id AS shoot,
   CASE WHEN event_type = 'view' THEN 'ours' ELSE 'vendor' END AS side, k AS num,
-  CASE WHEN event_type = 'view' THEN 'DSC' ELSE 'IMG_' END || lpad(CAST(k AS VARCHAR), 5, '0') || '.jpg' AS name
+  CASE WHEN event_type = 'view' THEN 'DSC' WHEN k % 3 = 0 THEN 'dsc_' ELSE 'IMG_' END || lpad(CAST(k AS VARCHAR), 5, '0') || '.jpg' AS name
   FROM ev WHERE event_type IN ('view', 'click')""")
 
 
@@ -134,7 +134,7 @@ def sides(spark: SparkSession, folder: str) -> DataFrame:
             F.when(ours, "ours").otherwise("vendor").alias("side"),
             F.col("k").alias("num"),
             F.concat(
-                F.when(ours, "DSC").otherwise("IMG_"),
+                F.when(ours, "DSC").when(F.col("k") % 3 == 0, "dsc_").otherwise("IMG_"),
                 F.lpad(F.col("k").cast("string"), 5, "0"),
                 F.lit(".jpg"),
             ).alias("name"),
@@ -395,7 +395,7 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- file names ----------------------------------------------------------------------------------
 
-_sql("names", "", """SELECT p_partkey AS file_no, p_partkey % 40 AS shoot,
+_sql("names", "", """SELECT p_partkey AS file_no, p_partkey // 2 % 40 AS shoot,
   CASE p_partkey % 9 WHEN 7 THEN 'photo ' || p_size WHEN 8 THEN 'IMG_' || lpad(CAST(p_partkey // 2 % 100000 AS VARCHAR), 4, '0')
     ELSE 'DSC' || lpad(CAST(p_partkey // 2 % 100000 AS VARCHAR), 5, '0') END AS stem,
   CASE p_size % 4 WHEN 1 THEN '_stage2-int' WHEN 2 THEN '_stage2-ext' ELSE '' END AS suffix,
@@ -406,7 +406,7 @@ _sql("names", "", """SELECT p_partkey AS file_no, p_partkey % 40 AS shoot,
 def names(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("file_no"),
-        F.expr("p_partkey % 40").alias("shoot"),
+        F.expr("p_partkey DIV 2 % 40").alias("shoot"),
         F.expr(
             """CASE p_partkey % 9 WHEN 7 THEN concat('photo ', p_size)
             WHEN 8 THEN concat('IMG_', lpad(CAST(p_partkey DIV 2 % 100000 AS STRING), 4, '0'))
