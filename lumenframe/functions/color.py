@@ -5,7 +5,7 @@ Weighted lumas are integers (thousandths, ten-thousandths) so that sums stay exa
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,15 +37,29 @@ def _lab_f(t: Column) -> Column:
     return F.when(t > d**3, F.pow(t, F.lit(1.0 / 3.0))).otherwise(t / (3 * d * d) + 4.0 / 29.0)
 
 
-def srgb_to_lab(r: Column, g: Column, b: Column) -> tuple[Column, Column, Column]:
-    """CIE Lab for the D65 white point."""
-    rl, gl, bl = _linear(r), _linear(g), _linear(b)
+def with_lab(df: DataFrame, r: str, g: str, b: str, prefix: str) -> DataFrame:
+    """Add CIE Lab (D65) columns ``<prefix>l``, ``<prefix>a``, ``<prefix>b``.
+
+    Built in stages, so that every power is computed once per pixel instead of being
+    copied into each place that uses it.
+    """
+    keep = df.columns
+    rows = df.select("*", *[_linear(F.col(c)).alias(f"__{n}") for n, c in zip("rgb", (r, g, b))])
+    rl, gl, bl = F.col("__r"), F.col("__g"), F.col("__b")
     # sRGB primaries to XYZ and the D65 white.
-    x = (rl * 0.4124564 + gl * 0.3575761 + bl * 0.1804375) / 0.95047
-    y = rl * 0.2126729 + gl * 0.7151522 + bl * 0.0721750
-    z = (rl * 0.0193339 + gl * 0.1191920 + bl * 0.9503041) / 1.08883
-    fx, fy, fz = _lab_f(x), _lab_f(y), _lab_f(z)
-    return fy * 116.0 - 16.0, (fx - fy) * 500.0, (fy - fz) * 200.0
+    rows = rows.select(
+        *keep,
+        ((rl * 0.4124564 + gl * 0.3575761 + bl * 0.1804375) / 0.95047).alias("__x"),
+        (rl * 0.2126729 + gl * 0.7151522 + bl * 0.0721750).alias("__y"),
+        ((rl * 0.0193339 + gl * 0.1191920 + bl * 0.9503041) / 1.08883).alias("__z"),
+    )
+    rows = rows.select(*keep, *[_lab_f(F.col(f"__{n}")).alias(f"__f{n}") for n in "xyz"])
+    return rows.select(
+        *keep,
+        (F.col("__fy") * 116.0 - 16.0).alias(f"{prefix}l"),
+        ((F.col("__fx") - F.col("__fy")) * 500.0).alias(f"{prefix}a"),
+        ((F.col("__fy") - F.col("__fz")) * 200.0).alias(f"{prefix}b"),
+    )
 
 
 def _clamp01(c: Column) -> Column:

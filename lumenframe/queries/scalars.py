@@ -359,8 +359,7 @@ def lab_sql(src: str) -> str:
 )
 def _(spark, sf):
     r, g, b = c("r"), c("g"), c("b")
-    lab_l, lab_a, lab_b = K.srgb_to_lab(r, g, b)
-    return views.rgb(spark, sf).select(
+    return K.with_lab(views.rgb(spark, sf), "r", "g", "b", "lab_").select(
         "image",
         "x",
         "y",
@@ -368,9 +367,9 @@ def _(spark, sf):
         (K.luma709_tenmilli(r, g, b) / 2550000).alias("luma709"),
         K.chroma_range(r, g, b).alias("chroma"),
         K.hsv_saturation(r, g, b).alias("sat"),
-        F.round(lab_l, 6).alias("lab_l"),
-        F.round(lab_a, 6).alias("lab_a"),
-        F.round(lab_b, 6).alias("lab_b"),
+        F.round("lab_l", 6).alias("lab_l"),
+        F.round("lab_a", 6).alias("lab_a"),
+        F.round("lab_b", 6).alias("lab_b"),
     )
 
 
