@@ -340,14 +340,12 @@ def _blur_axis(cube: DataFrame, axis: str, cols: Sequence[str], sigma: float, si
     taps = F.array(
         *[F.struct(F.lit(d).alias("d"), F.lit(w / sum(raw)).alias("w")) for d, w in zip(range(-radius, radius + 1), raw)]
     )
-    # a cell gives to target t = cell - d; beyond an edge the cube repeats mirrored
+    # a cell and its mirror images below (-1 - cell) and above (2 * size - 1 - cell) the cube
+    # each give to the target at image - d
+    images = F.array(F.col(axis), -1 - F.col(axis), 2 * size - 1 - F.col(axis))
     spread = cube.select("*", F.inline(taps))
-    at = F.col(axis) - F.col("d")
-    inside = spread.withColumn("__t", at).where(F.col("__t").between(0, size - 1))
-    # mirrored images of a cell: -1 - axis below the cube and 2 * size - 1 - axis above it
-    low = spread.withColumn("__t", -1 - F.col(axis) - F.col("d")).where(F.col("__t").between(0, size - 1))
-    high = spread.withColumn("__t", 2 * size - 1 - F.col(axis) - F.col("d")).where(F.col("__t").between(0, size - 1))
-    parts = inside.unionByName(low).unionByName(high)
+    targets = F.filter(F.transform(images, lambda at: at - F.col("d")), lambda t: t.between(0, size - 1))
+    parts = spread.withColumn("__t", F.explode(targets))
     others = [c for c in "ijk" if c != axis]
     return parts.groupBy(F.col("__t").cast("int").alias(axis), *others).agg(
         *[F.sum(F.col(c) * F.col("w")).alias(c) for c in cols]
