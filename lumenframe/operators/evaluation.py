@@ -297,13 +297,13 @@ REASON_CHARS = 480
 def detector_summary(boxes: DataFrame, images: DataFrame, key: str, min_score: float = 0.5, floor: float | None = None) -> DataFrame:
     """Per image: is anything there, how sure, and which boxes say so.
 
-    The reason is cut to 480 characters; an entry with its separator takes at least 8, so the
-    first 60 entries decide it and only those are kept per image.
+    The reason is cut to 480 characters; an entry with its separator takes at least 7, so the
+    first 69 entries decide it and only those are kept per image.
     """
     kept = boxes.where(F.col("score") >= min_score)
     first = Window.partitionBy(key).orderBy(F.col("score").desc(), "box_id")
     text = F.format_string("%s %.2f", "label", "score")
-    lead = kept.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= REASON_CHARS // 8)
+    lead = kept.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= REASON_CHARS // 7 + 1)
     lead = lead.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__r", text.alias("t")))).alias("l"))
     lead = lead.select(key, F.substring(F.array_join(F.transform("l", lambda e: e["t"]), ", "), 1, REASON_CHARS).alias("reason"))
     tops = kept.groupBy(key).agg(F.max("score").alias("confidence"))

@@ -136,7 +136,7 @@ def bracket_stream(frames: DataFrame, max_gap_s: float = 60.0, late: str = "2 mi
         mark = state.getCurrentWatermarkMs() * 1000
         closed, run = [], []
         for at, f in enumerate(held):
-            if f[0] > mark:
+            if f[0] >= mark:
                 rest = held[at:]
                 break
             if run and (f[3] < run[-1][3] or f[0] - run[-1][0] > gap):
