@@ -36,7 +36,12 @@ def to_pixels(runs: DataFrame) -> DataFrame:
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """Union of overlapping and touching runs."""
+    """Union of overlapping and touching runs.
+
+    Runs that start together are merged before the shuffle, so a row of an image has at most
+    as many runs as pixels, however many boxes cover it.
+    """
+    runs = runs.groupBy("image_id", "y", "x0").agg(F.max("x1").alias("x1"))
     w = Window.partitionBy("image_id", "y").orderBy("x0", "x1")
     reach = F.max("x1").over(w.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(reach.isNull() | (F.col("x0") > reach + 1), 1).otherwise(0)

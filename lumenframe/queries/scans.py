@@ -75,7 +75,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch(spark, "annotations")
     b = views.boxes(spark, sf).where("is_truth")
-    T.write_annotations(b.select(F.expr("concat('img-', image, '.jpg')").alias("path"), c("cls").alias("label"), "x0", "y0", "x1", "y1"), path)
+    T.write_annotations(b.select(F.expr("concat('img-', image, '.jpg')").alias("path"), c("cls").alias("label"), "x0", "y0", "x1", "y1", "box_id"), path, "box_id", 2)
     return T.read_annotations(spark, path)
 
 

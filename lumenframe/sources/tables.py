@@ -65,10 +65,19 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     return both.select("path", F.col("b.labels").alias("label"), *[F.get(box, F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
 
 
-def write_annotations(boxes: DataFrame, path: str) -> None:
-    """One JSON document per image from a box table (an annotation lists a photo's few boxes)."""
+BOXES_PER_DOC = 10_000
+
+
+def write_annotations(boxes: DataFrame, path: str, box_key: str, per_doc: int = BOXES_PER_DOC) -> None:
+    """JSON documents from a box table: one per image, several where an image has very many boxes.
+
+    ``box_key`` tells the boxes of an image apart and deals them out to the documents.
+    """
+    sizes = boxes.groupBy("path").agg(F.ceil(F.count(F.lit(1)) / per_doc).alias("__docs"))
+    part = F.pmod(F.xxhash64(box_key), F.col("__docs"))
     box = F.array(*[F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")])
-    docs = boxes.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(box.alias("b"), F.col("label").cast("int").alias("l")))).alias("r"))
+    entry = F.struct(box.alias("b"), F.col("label").cast("int").alias("l"))
+    docs = boxes.join(sizes, "path").groupBy("path", part.alias("__part")).agg(F.array_sort(F.collect_list(entry)).alias("r"))
     docs.select("path", F.col("r.b").alias("boxes"), F.col("r.l").alias("labels")).write.mode("overwrite").json(path)
 
 
