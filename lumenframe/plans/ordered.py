@@ -173,12 +173,12 @@ def number_slot(n: Column | str, width: int = 4096) -> Column:
 
 
 def total_of(df: DataFrame, *aggs: Column) -> DataFrame:
-    """A one-row total carrying the join key ``__one`` so that it can be broadcast."""
-    return df.agg(*aggs).withColumn("__one", F.lit(1))
+    """A global aggregate: one row by construction."""
+    return df.agg(*aggs)
 
 
 def with_total(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach a one-row total to every row (the broadcast is one row by construction)."""
-    return (
-        df.withColumn("__one", F.lit(1)).join(F.broadcast(totals), "__one").drop("__one")
-    )
+    """Attach a one-row total to every row, as a scalar subquery: no join, no shuffle."""
+    names = totals.columns
+    one = totals.select(F.struct(*names)).scalar()
+    return df.select("*", one.alias("__total_row")).select(*df.columns, *[F.col(f"__total_row.{n}").alias(n) for n in names])

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenframe.plans.ordered import with_total
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -30,13 +32,12 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     grid = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    shape = counts.groupBy(*by).agg(
+    shape = (counts.groupBy(*by) if keys else counts.groupBy()).agg(
         F.sum("__n").alias("__total"),
         F.percentile_approx("__v", grid, F.lit(2000)).alias("__cuts"),
     )
-    if not keys:
-        shape = F.broadcast(shape)  # a global aggregate: exactly one row
-    binned = counts.join(shape, by).withColumn(
+    sized = counts.join(shape, by) if keys else with_total(counts, shape.select("__total", "__cuts"))
+    binned = sized.withColumn(
         "__bin", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
     )
 
