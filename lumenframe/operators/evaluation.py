@@ -88,13 +88,13 @@ def roll_weighted_mean(angles: DataFrame) -> DataFrame:
 def roll_weighted_median(angles: DataFrame, negate: bool = True) -> DataFrame:
     """First angle at which the running length reaches half of the total.
 
-    Equal angles are merged first and the running sum goes degree by degree.
+    Equal angles are merged first and the running sum goes in slots of ten degrees.
     """
     points = angle_points(angles).select("image", "angle", "w")
     total = angles.groupBy("image").agg(
-        F.count("angle").alias("n"), F.sum(F.when(F.col("angle").isNotNull(), F.col("weight").cast("decimal(20,0)"))).alias("total")
+        F.count("angle").alias("n"), F.sum(F.when(F.col("angle").isNotNull(), F.col("weight"))).alias("total")
     )
-    run = running_sum(points, ["image"], number_slot("angle", 1_000_000), ["angle"], F.col("w"), "run")
+    run = running_sum(points, ["image"], number_slot("angle", 10_000_000), ["angle"], F.col("w"), "run")
     hit = run.join(total, "image").where(F.col("run") * 2 >= F.col("total"))
     med = hit.groupBy("image").agg(F.min("angle").alias("m"))
     sign = -1 if negate else 1

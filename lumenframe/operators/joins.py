@@ -214,12 +214,9 @@ def near_vertical(segments: DataFrame, window_deg: float = 25.0) -> DataFrame:
 
 def angle_points(angles: DataFrame) -> DataFrame:
     """Equal angles of an image merged: count, weight, weighted angle (exact integers)."""
-    w = F.col("weight").cast("decimal(20,0)")
     return angles.where("angle IS NOT NULL").groupBy("image", "angle").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(w).cast("decimal(30,0)").alias("w"),
-        F.sum(w * F.col("angle").cast("decimal(12,0)")).cast("decimal(38,0)").alias("wa"),
-    )
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")
+    ).withColumn("wa", F.col("w").cast("decimal(20,0)") * F.col("angle").cast("decimal(10,0)"))
 
 
 def roll_consensus(angles: DataFrame, reach_udeg: int = 799_999) -> DataFrame:
@@ -228,7 +225,7 @@ def roll_consensus(angles: DataFrame, reach_udeg: int = 799_999) -> DataFrame:
     Every angle is a candidate; ties go to the angle nearest zero, then the lower one.
     Images with fewer than three usable angles give 0.
     """
-    near = range_sums(angle_points(angles), ["image"], "angle", ["w", "wa"], reach_udeg, 1_000_000)
+    near = range_sums(angle_points(angles), ["image"], "angle", ["w", "wa"], reach_udeg, 10_000_000)
     rank = F.struct((-F.col("near_w")).alias("a"), F.abs("angle").alias("b"), F.col("angle").alias("c"))
     best = near.groupBy("image").agg(F.min_by(F.struct("near_w", "near_wa"), rank).alias("b"))
     sizes = angles.groupBy("image").agg(F.count("angle").alias("n"))

@@ -125,28 +125,25 @@ def range_sums(
     the cost is linear: no pair of points is ever formed.
     """
     keys = list(keys)
-    base = points.select(*keys, pos, *values)
-    data = base.select(
-        *keys, F.col(pos).alias("__at"), F.lit(0).alias("__kind"), F.col(pos).alias("__of"), F.lit(0).alias("__sign"), *values
-    )
-    edges = F.array(
-        F.struct((F.col(pos) - reach - 1).alias("at"), F.lit(-1).alias("sign")),
-        F.struct((F.col(pos) + reach).alias("at"), F.lit(1).alias("sign")),
-    )
-    asks = base.select(*keys, F.col(pos).alias("__of"), *values, F.explode(edges).alias("e")).select(
-        *keys,
-        F.col("e.at").alias("__at"),
-        F.lit(1).alias("__kind"),
-        "__of",
-        F.col("e.sign").alias("__sign"),
-        *[F.lit(0).cast(points.schema[v].dataType).alias(v) for v in values],
-    )
+
+    def mark(at: Column, kind: int, sign: int) -> Column:
+        carried = [F.col(v) if kind == 0 else F.lit(0).cast(points.schema[v].dataType) for v in values]
+        return F.struct(
+            at.alias("__at"),
+            F.lit(kind).alias("__kind"),
+            F.lit(sign).alias("__sign"),
+            *[c.alias(f"__x_{v}") for c, v in zip(carried, values)],
+        )
+
+    # the point itself, and the two places where it asks for the sum so far
+    marks = F.array(mark(F.col(pos), 0, 0), mark(F.col(pos) - reach - 1, 1, -1), mark(F.col(pos) + reach, 1, 1))
+    events = points.select(*keys, F.col(pos).alias("__of"), F.inline(marks))
     run = prior(
-        data.unionByName(asks),
+        events,
         keys,
         number_slot("__at", slot_width),
         ["__at", "__kind", "__of", "__sign"],
-        {f"__s_{v}": ("sum", F.col(v)) for v in values},
+        {f"__s_{v}": ("sum", F.col(f"__x_{v}")) for v in values},
     )
     got = run.where("__kind = 1").groupBy(*keys, F.col("__of").alias(pos))
     return got.agg(*[F.sum(F.col(f"__s_{v}") * F.col("__sign")).alias(f"near_{v}") for v in values])
