@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, mixing
+from lumenframe.llm import bpe, chat, mixing, rules, secrets
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,110 @@ def op1_mix(spark, folder):
 @query("op7_bpe")
 def op7_bpe(spark, folder):
     return bpe.encode(table(spark, folder, "documents"), ids=False)
+
+
+CHAT_SQL = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(role || text) + 4 * (length(role || text) - length(replace(role || text, '&', '')))
+            + 3 * (length(role || text) - length(regexp_replace(role || text, '[<>\[\]]', '', 'g'))) AS escaped
+  FROM rows_)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       (sum(escaped + length('<s>[] </s>')) + count(*) - 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op4_chat", CHAT_SQL)
+def op4_chat(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema))
+    got = chat.format_paths(chat.chains(rows))
+    return got.select(F.col("tree").alias("conv_id"), *[c.alias(n) for n, c in chat.read_back(F.col("formatted"), F.col("loss")).items()])
+
+
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_KINDS = (
+    ("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
+    ("hex", "[0-9a-f]+", "length(m) >= 24"),
+    ("private_key", "-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----", "true"),
+    ("forge_token", "gh[pousr]_[A-Za-z0-9]{36,}", "true"),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", "true"),
+)
+SECRETS_SQL = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), u AS ("
+    + " UNION ALL ".join(
+        f"""SELECT doc_id, {k} AS o, '{kind}' AS kind, i, m, g, {ok} AS ok FROM (
+        SELECT doc_id, unnest(m) AS m, unnest(s[1:len(m)]) AS g, generate_subscripts(m, 1) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS s FROM d))"""
+        for k, (kind, p, ok) in enumerate(_KINDS)
+    )
+    + """), w AS (
+  SELECT doc_id, o, kind, ok, length(m) AS n, sum(length(m) + length(g)) OVER (PARTITION BY doc_id, o ORDER BY i) AS stop FROM u),
+f AS (SELECT doc_id, o, kind, (stop - n)::BIGINT AS start, stop::BIGINT AS stop FROM w WHERE ok),
+a AS (
+  SELECT doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans
+  FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (doc_id)"""
+)
+
+
+@query("op8_secrets", SECRETS_SQL)
+def op8_secrets(spark, folder):
+    got = secrets.find(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+
+    def count(rank):
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+    return got.select(
+        "doc_id",
+        *[count(k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+RULES_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, '=' || source AS host FROM documents),
+s AS (
+  SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS a, unnest(w[2:] || [NULL]) AS b, unnest(w[3:] || [NULL, NULL])  AS c FROM s WHERE len(w) >= 3),
+h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) > 1 AS twice FROM g WHERE c IS NOT NULL),
+v AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM h WHERE twice),
+r AS (SELECT doc_id, count(*) AS n FROM v GROUP BY doc_id),
+l0 AS (
+  SELECT doc_id, host, t, unnest(lines) AS line, generate_subscripts(lines, 1) AS i, len(lines) AS shape FROM s JOIN d USING (doc_id)),
+l1 AS (SELECT *, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l0),
+l2 AS (SELECT *, lag(k) OVER w AS p, lead(k) OVER w AS q FROM l1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT host, k, p, q, min(shape) AS shape FROM l2 GROUP BY host, k, p, q),
+b AS (SELECT host, k FROM c GROUP BY host, k HAVING count(*) > 20 AND count(DISTINCT least(shape, 1000)) >= 8),
+x AS (SELECT doc_id, sum(n)::BIGINT AS lost FROM l2 JOIN b USING (host, k) GROUP BY doc_id),
+o AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(x.lost, 0)::BIGINT AS removed_words
+  FROM s LEFT JOIN r USING (doc_id) LEFT JOIN x USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND removed_words <= 0.8::DOUBLE * n_words AS kept
+FROM o
+"""
+
+
+@query("op9_rules", RULES_SQL)
+def op9_rules(spark, folder):
+    got = rules.judge(table(spark, folder, "documents"), ["doc_id"])
+    return got.select("doc.doc_id", "stats.*", "removed_words", "base_failed", "kept")
