@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, mixing, rules, secrets
+from lumenframe.llm import bpe, chat, mixing, neardup, rules, secrets
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,9 @@ FROM o
 def op9_rules(spark, folder):
     got = rules.judge(table(spark, folder, "documents"), ["doc_id"])
     return got.select("doc.doc_id", "stats.*", "removed_words", "base_failed", "kept")
+
+
+@query("op6_neardup")
+def op6_neardup(spark, folder):
+    got = neardup.group(table(spark, folder, "documents"))
+    return got.select("doc_id", "n_shingles", "component_id", "kept")
