@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, mixing, neardup, rules, secrets
+from lumenframe.llm import bpe, chat, fingerprints, mixing, neardup, rules, secrets
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,8 @@ def op9_rules(spark, folder):
 def op6_neardup(spark, folder):
     got = neardup.group(table(spark, folder, "documents"))
     return got.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op2_fingerprints")
+def op2_fingerprints(spark, folder):
+    return fingerprints.compare_next(table(spark, folder, "documents"))
