@@ -43,24 +43,26 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     up = known.select(F.col("tree").alias("t"), F.col("node").alias("anc"))
     state = linked.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("anc")), "left")
     state = stash(state.select("tree", "node", "anc", "total", F.lit(1).cast("long").alias("depth")), "tree-0")
-    jumps, rounds = [], max(1, state.count()).bit_length()
-    while len(jumps) <= rounds and not state.where("anc IS NOT NULL").isEmpty():
-        jumps.append(state.where("anc IS NOT NULL").select("tree", "node", "anc"))
-        above = state.select(
+    rounds = max(1, state.count()).bit_length()
+    done, open_, jumps = state.where("anc IS NULL"), state.where("anc IS NOT NULL"), []
+    # only messages that have not reached their root yet take part in a round
+    while len(jumps) <= rounds and not open_.isEmpty():
+        jumps.append(open_.select("tree", "node", "anc"))
+        above = open_.unionByName(done).select(
             F.col("tree").alias("t"), F.col("node").alias("n"), F.col("anc").alias("next"),
             F.col("total").alias("more"), F.col("depth").alias("steps"),
         )
-        joined = state.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("anc") == F.col("n")), "left")
-        state = stash(
+        joined = open_.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("anc") == F.col("n")))
+        moved = stash(
             joined.select(
                 "tree", "node", F.col("next").alias("anc"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth"),
+                (F.col("total") + F.col("more")).alias("total"), (F.col("depth") + F.col("steps")).alias("depth"),
             ),
             f"tree-{len(jumps)}",
         )
+        done, open_ = done.unionByName(moved.where("anc IS NULL")), moved.where("anc IS NOT NULL")
     parents = messages.where("parent IS NOT NULL").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
-    leaves = state.where("anc IS NULL").join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
+    leaves = done.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
     best = Window.partitionBy("tree").orderBy(F.col("total").desc(), F.col("depth").desc(), "node")
     chosen = leaves.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
     path = chosen.select("tree", F.col("node").alias("leaf"), "node")
@@ -69,7 +71,7 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
         higher = path.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
         # written each time: the plan would double with every level
         path = stash(path.unionByName(higher.select("tree", "leaf", F.col("anc").alias("node"))), "tree-path")
-    depths = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), "depth")
+    depths = done.select(F.col("tree").alias("t"), F.col("node").alias("n"), "depth")
     return path.join(depths, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select("tree", "leaf", "node", "depth")
 
 
