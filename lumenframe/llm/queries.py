@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, fingerprints, mixing, neardup, rules, secrets
+from lumenframe.llm import bpe, chat, fingerprints, language, mixing, neardup, quality, rules, secrets
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,13 @@ def op6_neardup(spark, folder):
 @query("op2_fingerprints")
 def op2_fingerprints(spark, folder):
     return fingerprints.compare_next(table(spark, folder, "documents"))
+
+
+@query("op3_quality")
+def op3_quality(spark, folder):
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op5_language")
+def op5_language(spark, folder):
+    return language.identify_held_out(table(spark, folder, "documents"))
