@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, fingerprints, language, mixing, neardup, quality, rules, secrets
+from lumenframe.llm import bpe, chat, extraction, fingerprints, language, mixing, neardup, quality, rules, secrets
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,8 @@ def op3_quality(spark, folder):
 @query("op5_language")
 def op5_language(spark, folder):
     return language.identify_held_out(table(spark, folder, "documents"))
+
+
+@query("op10_extraction")
+def op10_extraction(spark, folder):
+    return extraction.extract(table(spark, folder, "pages"))
