@@ -236,12 +236,11 @@ def tail_duplicate(df: DataFrame, label: str, below3: int = 350, below2: int = 8
 # ---- detection ------------------------------------------------------------------------------------
 
 
-def match_detections(detections: DataFrame, truth: DataFrame, cell: int = 16, min_iou: float = 0.5, walk_rows: int = 1_000_000) -> DataFrame:
+def match_detections(detections: DataFrame, truth: DataFrame, cell: int = 16, min_iou: float = 0.5) -> DataFrame:
     """(image, cls, box_id) of detections that win a truth box.
 
-    In score order every detection takes the first free truth box it overlaps enough.  The
-    groups are walked row by row inside a partition; groups with very many candidates are
-    settled in distributed rounds instead, with the same result.
+    In score order every detection takes the first free truth box it overlaps enough, settled
+    in distributed rounds.
     """
     pairs = box_pairs(detections, truth, ["image", "cls"], min_iou, cell)
     order = F.struct(
@@ -249,7 +248,7 @@ def match_detections(detections: DataFrame, truth: DataFrame, cell: int = 16, mi
         (-F.col("a_x1")).alias("c"), (-F.col("a_y1")).alias("d"), F.col("a_box_id").alias("e"),
     )
     cands = pairs.select("image", "cls", order.alias("rank"), F.col("a_box_id").alias("box_id"), F.col("b_box_id").alias("target"))
-    return greedy_match(cands, ["image", "cls"], "rank", "box_id", "target", walk_rows).select("image", "cls", "box_id")
+    return greedy_match(cands, ["image", "cls"], "rank", "box_id", "target").select("image", "cls", "box_id")
 
 
 def average_precision(detections: DataFrame, truth: DataFrame, cell: int = 16) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions import review as R
-from lumenframe.plans.ordered import range_sums, total_of, with_total
+from lumenframe.plans.ordered import number_slot, range_sums, ranked, total_of, with_total
 
 
 def pending(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -172,19 +172,19 @@ def asset_batch(records: DataFrame, classes: DataFrame, keys: Sequence[str]) ->
     return ready.join(classes, list(keys), "left")
 
 
-def exterior_requests(records: DataFrame, classes: DataFrame, plates: DataFrame, keys: Sequence[str], limit: int = 60) -> DataFrame:
+def exterior_requests(records: DataFrame, classes: DataFrame, plates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A request per exterior photo; one plate per job, picked by a hash of the job.
 
-    Unknown photos are left alone.  ``plates`` is a library page of at most ``limit`` rows.
+    Unknown photos are left alone.  Every plate takes part: plates are numbered by ``plate_id``
+    and a photo meets the one whose number the hash gives.
     """
-    shelf = plates.orderBy("plate_id").limit(limit)
-    ordered = total_of(shelf, F.array_sort(F.collect_list(F.struct("plate_id", "plate_path"))).alias("__plates"))
+    shelf = ranked(plates.select("plate_id", "plate_path"), [], number_slot("plate_id"), ["plate_id", "plate_path"], "__n")
     outside = records.where("object_key IS NOT NULL").join(
         classes.where(~F.col("is_interior")).select(*keys), list(keys), "left_semi"
     )
-    picked = with_total(outside, ordered).where(F.size("__plates") > 0)
-    plate = F.col("__plates")[R.hash_pick(F.col("job_id"), F.size("__plates")).cast("int")]
-    return picked.withColumn("plate_id", plate["plate_id"]).withColumn("plate_path", plate["plate_path"]).drop("__plates")
+    counted = with_total(outside, total_of(plates, F.count(F.lit(1)).alias("__plates"))).where("__plates > 0")
+    picked = counted.withColumn("__n", R.hash_pick(F.col("job_id"), F.col("__plates")).cast("long") + 1)
+    return picked.join(shelf, "__n").drop("__n", "__plates")
 
 
 def step_plan(images: DataFrame, source: str, steps: Sequence[Mapping[str, str | None]]) -> DataFrame:

@@ -139,7 +139,7 @@ def rasterize_boxes(boxes: DataFrame, dims: DataFrame, rounded: bool) -> DataFra
 # ---- components ---------------------------------------------------------------------------------
 
 
-def connected_components(mask: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(mask: DataFrame) -> DataFrame:
     """Label 4-connected components: ``(image_id, x, y, component)``.
 
     Nodes are runs, joined where runs of neighbouring rows overlap.  Each round takes the
@@ -153,7 +153,7 @@ def connected_components(mask: DataFrame, max_rounds: int = 64) -> DataFrame:
     )
     edges = cut(_touching(runs))
     labels = cut(runs.select("image_id", "node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         around = edges.join(
             labels.select("image_id", F.col("node").alias("other"), "label"), ["image_id", "other"]
         )
@@ -170,8 +170,6 @@ def connected_components(mask: DataFrame, max_rounds: int = 64) -> DataFrame:
         labels = step.drop("moved")
         if step.where("moved").isEmpty():
             break
-    else:
-        raise RuntimeError("components did not settle")
     return runs.join(labels, ["image_id", "node"]).select(
         "image_id", F.explode(F.sequence("x0", "x1")).alias("x"), "y", F.col("label").alias("component")
     )

@@ -34,7 +34,8 @@ def topk_mean(queries: DataFrame, bank: DataFrame, key: str, vector: str, k: int
 
     A bank whose row count and width were checked to be small is sent to every executor once
     and scored in Arrow batches.  A larger one is cut in blocks that meet chunks of the
-    queries; every meeting returns only its best ``k`` values, which are then merged.
+    queries; every meeting returns only its best ``k`` values, which are then merged.  Either
+    way each query row gives one row, and the bank needs nothing but its vectors.
     """
     head = bank.select(vector).limit(bank_rows + 1)
     n, width = head.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
@@ -59,24 +60,26 @@ def _blocked(queries: DataFrame, bank: DataFrame, key: str, vector: str, k: int,
     n_bank = bank.count()
     blocks = -(-n_bank // block_rows)
     chunks = max(1, -(-queries.count() // CHUNK_ROWS))
+    place = F.monotonically_increasing_id().alias("__row")
 
     def numbered(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64(F.col(key)), F.lit(n_own)).cast("int")
+        mine = F.pmod(F.xxhash64("__row"), F.lit(n_own)).cast("int")
         spread = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
         return df.withColumn(own, mine).withColumn(other, spread)
 
-    q = numbered(queries.select(key, vector), "chunk", chunks, "block", blocks)
-    b = numbered(bank.select(key, vector), "block", blocks, "chunk", chunks)
+    q = numbered(queries.select(key, vector, place), "chunk", chunks, "block", blocks)
+    b = numbered(bank.select(vector, place), "block", blocks, "chunk", chunks)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({key: [], "best": []})
+            return pd.DataFrame({"__row": [], key: [], "best": []})
         top = _best(_units(left[vector]), _units(right[vector]), k)
-        return pd.DataFrame({key: np.repeat(left[key].to_numpy(), top.shape[1]), "best": top.ravel()})
+        again = left[["__row", key]].loc[left.index.repeat(top.shape[1])].reset_index(drop=True)
+        return again.assign(best=top.ravel())
 
-    schema = f"{key} {queries.schema[key].dataType.simpleString()}, best double"
+    schema = f"__row bigint, {key} {queries.schema[key].dataType.simpleString()}, best double"
     parts = q.groupBy("chunk", "block").cogroup(b.groupBy("chunk", "block")).applyInPandas(meet, schema)
-    best = parts.groupBy(key).agg(F.sort_array(F.collect_list("best"), asc=False).alias("b"))  # k values per block
+    best = parts.groupBy("__row").agg(F.first(key).alias(key), F.sort_array(F.collect_list("best"), asc=False).alias("b"))  # k values per block
     top = F.slice("b", 1, k)
     return best.select(key, (F.aggregate(top, F.lit(0.0), lambda s, v: s + v) / F.size(top)).alias("score"))
 

@@ -2,75 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.plans.lineage import cut
 
 
-def greedy_match(
-    cands: DataFrame, keys: Sequence[str], rank: str, proposer: str, target: str, walk_rows: int = 1_000_000
-) -> DataFrame:
+def greedy_match(cands: DataFrame, keys: Sequence[str], rank: str, proposer: str, target: str) -> DataFrame:
     """``cands`` has one row per allowed (proposer, target); targets are tried in their own order.
 
-    Groups up to ``walk_rows`` candidates are walked in sorted partitions.  Larger ones are
-    settled in rounds (see ``_rounds``): both give the same pairs.
+    Rounds of proposals, for groups of any size: every proposer asks for its first target left; a
+    target keeps the best-ranked one that asked, and every candidate ranked below that one is
+    struck out.  When nothing of a group is struck out any more, its kept pairs are the greedy
+    result, because all targets rank proposers by the same order; the group is then set aside.
     """
     keys = list(keys)
-    sizes = cands.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    large = sizes.where(F.col("__n") > walk_rows).select(*keys)
-    small = cands.join(large, keys, "left_anti")
-    got = _walk(small, keys, rank, proposer, target)
-    if large.isEmpty():
-        return got
-    return got.unionByName(_rounds(cands.join(large, keys, "left_semi"), keys, rank, proposer, target))
-
-
-def _walk(cands: DataFrame, keys: list[str], rank: str, proposer: str, target: str) -> DataFrame:
-    rows = cands.repartition(*keys).sortWithinPartitions(*keys, rank, target).select(*keys, proposer, target)
-    names = [*keys, proposer, target]
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group = served = None
-        taken: set = set()
-        for b in batches:
-            out = []
-            for row in b.itertuples(index=False, name=None):
-                key, who, what = row[:-2], row[-2], row[-1]
-                if key != group:
-                    group, served, taken = key, None, set()
-                if who != served and what not in taken:
-                    served = who
-                    taken.add(what)
-                    out.append(row)
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.mapInPandas(walk, rows.schema)
-
-
-def _rounds(cands: DataFrame, keys: list[str], rank: str, proposer: str, target: str) -> DataFrame:
-    """Settle large groups in rounds of proposals.
-
-    Every proposer asks for its first target left; a target keeps the best-ranked one that
-    asked, and every candidate ranked below that one is struck out.  When nothing is struck
-    out any more, the kept pairs are the greedy result, because all targets rank proposers
-    by the same order.
-    """
-    alive = cut(cands.select(*keys, rank, proposer, target))
-    n = alive.count()
+    alive, settled = cands.select(*keys, rank, proposer, target), []
     while True:
         asks = alive.groupBy(*keys, rank, proposer).agg(F.min(target).alias(target))
         held = asks.groupBy(*keys, target).agg(F.min(F.struct(rank, proposer)).alias("__best"))
-        left = alive.join(held, [*keys, target], "left").where(
-            F.col("__best").isNull() | (F.struct(rank, proposer) <= F.col("__best"))
-        )
-        alive = cut(left.select(*keys, rank, proposer, target))
-        m = alive.count()
-        if m == n:
+        gone = F.coalesce(F.struct(rank, proposer) > F.col("__best"), F.lit(False))
+        marked = alive.join(held, [*keys, target], "left").withColumn("__gone", gone)
+        marked = cut(marked.select(*keys, rank, proposer, target, "__gone"))
+        moving = marked.where("__gone").select(*keys).distinct()
+        settled.append(marked.join(moving, keys, "left_anti").drop("__gone"))
+        if moving.isEmpty():
             break
-        n = m
-    asks = alive.groupBy(*keys, rank, proposer).agg(F.min(target).alias(target))
+        alive = marked.where("NOT __gone").drop("__gone").join(moving, keys, "left_semi")
+    kept = reduce(DataFrame.unionByName, settled)
+    asks = kept.groupBy(*keys, rank, proposer).agg(F.min(target).alias(target))
     return asks.select(*keys, proposer, target)

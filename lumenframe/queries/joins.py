@@ -355,7 +355,7 @@ def _(spark, sf):
 
 @query(
     "j23_exterior_requests",
-    """, pl AS (SELECT s_suppkey AS plate_id, s_name AS plate_path FROM supplier WHERE s_acctbal > 0 ORDER BY s_suppkey LIMIT 60),
+    """, pl AS (SELECT s_suppkey AS plate_id, s_name AS plate_path FROM supplier WHERE s_acctbal > 0),
        pn AS (SELECT *, row_number() OVER (ORDER BY plate_id) - 1 AS i FROM pl)
        SELECT job_id, stem, plate_id, plate_path FROM reviews JOIN pn ON i = ('0x' || substr(sha256(CAST(job_id AS VARCHAR)), 1, 8))::BIGINT % (SELECT count(*) FROM pn)
        WHERE output_path IS NOT NULL AND part_no % 3 <> 0 AND supp_no % 8 <> 0 AND NOT interior_worker""",

@@ -277,15 +277,14 @@ def _(spark, sf):
 
 @query(
     "a36_mask_roi",
-    """, bx AS (SELECT image_id, min(x) AS x0, max(x) + 1 AS x1, min(y) AS y0, max(y) + 1 AS y1 FROM masks WHERE x > 2 AND y > 3 AND x + y < 9 GROUP BY image_id),
+    """, bx AS (SELECT image_id, min(x) AS x0, max(x) + 1 AS x1, min(y) AS y0, max(y) + 1 AS y1 FROM masks GROUP BY image_id),
       pd AS (SELECT d.image_id, bx.* EXCLUDE (image_id), greatest(1, CAST(floor(0.5::DOUBLE * greatest(x1 - x0, y1 - y0)) AS INT)) AS pad FROM dims d LEFT JOIN bx USING (image_id))
       SELECT image_id, CASE WHEN x0 IS NULL THEN 0 ELSE CAST(greatest(0, floor((x0 - pad) / 2) * 2) AS INT) END AS x0, CASE WHEN x0 IS NULL THEN 0 ELSE CAST(greatest(0, floor((y0 - pad) / 2) * 2) AS INT) END AS y0,
         CASE WHEN x0 IS NULL THEN 8 ELSE CAST(least(8, ceil((x1 + pad) / 2) * 2) AS INT) END AS x1, CASE WHEN x0 IS NULL THEN 8 ELSE CAST(least(8, ceil((y1 + pad) / 2) * 2) AS INT) END AS y1 FROM pd""",
     "masks dims",
 )
 def _(spark, sf):
-    m = views.masks(spark, sf).where("x > 2 AND y > 3 AND x + y < 9")
-    return M.mask_roi(m, views.dims(spark, sf), 1, 0.5, 2)
+    return M.mask_roi(views.masks(spark, sf), views.dims(spark, sf), 1, 0.5, 2)
 
 
 _KNN = """, qy AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), ps AS (SELECT vec_id AS pid, embedding::DOUBLE[] AS e FROM embeddings WHERE label = 3 AND vec_id % 2 = 0), ng AS (SELECT vec_id AS pid, embedding::DOUBLE[] AS e FROM embeddings WHERE label = 7),

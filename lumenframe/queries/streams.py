@@ -19,7 +19,8 @@ NOW = 1_706_745_600_000_000  # 2024-02-01 00:00 UTC
 def live(spark, sf):
     """The event table as a stream, in the columns of the ``ev`` view."""
     static = views.table(spark, sf, "events")
-    rows = spark.readStream.schema(static.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # a glob matches the table whether it is a file or a folder of parts
+    rows = spark.readStream.schema(static.schema).parquet(f"{sf}/events.parque[t]")
     return rows.select(
         "event_id",
         "user_id",
@@ -42,7 +43,7 @@ def _failed():
 @query("t1_request_stream", f"SELECT DISTINCT id, {_RESULT}, CASE WHEN ('0x' || substr(id, 1, 8))::BIGINT % 10 = 0 THEN 'bad request' END AS error FROM requests", "requests")
 def _(spark, sf):
     req = S.with_event_time(views.requests_of(live(spark, sf)))
-    return drain(S.request_results(req, _failed(), F.lit("bad request")), ["id"], "append", label="t1")
+    return drain(S.request_results(req, _failed(), F.lit("bad request")), ["id"], "append", label="t1", once=True)
 
 
 @query(
@@ -52,7 +53,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     req = S.shard(S.with_event_time(views.requests_of(live(spark, sf))), 1, 4)
-    return drain(S.request_results(req, _failed(), F.lit("bad request")), ["id"], "append", label="t2")
+    return drain(S.request_results(req, _failed(), F.lit("bad request")), ["id"], "append", label="t2", once=True)
 
 
 _WINDOW = """SELECT worker, t_us // {w} * {w} AS start_us, count(*) AS beats, max(load) AS max_load, sum(mem_pct) / count(*) AS avg_mem, max(mem_pct) AS max_mem,
@@ -65,12 +66,12 @@ def _beats(spark, sf):
 
 @query("t3_heartbeat_minutes", _WINDOW.format(w=60_000_000), "heartbeats")
 def _(spark, sf):
-    return drain(S.heartbeat_windows(_beats(spark, sf), "1 minute"), ["worker", "start_us"], "update", label="t3")
+    return drain(S.heartbeat_windows(_beats(spark, sf), "1 minute", None), ["worker", "start_us"], "update", label="t3")
 
 
 @query("t3_heartbeat_hours", _WINDOW.format(w=3_600_000_000), "heartbeats")
 def _(spark, sf):
-    return drain(S.heartbeat_windows(_beats(spark, sf), "1 hour"), ["worker", "start_us"], "update", label="t3")
+    return drain(S.heartbeat_windows(_beats(spark, sf), "1 hour", None), ["worker", "start_us"], "update", label="t3")
 
 
 @query(
@@ -83,7 +84,7 @@ def _(spark, sf):
     agent = F.struct(F.lit("agent").alias("name"), F.lit("active").alias("status"))
     own = F.struct(c("service").alias("name"), c("service_state").alias("status"))
     beats = _beats(spark, sf).withColumn("services", F.array(agent, own))
-    return drain(S.service_windows(beats, "1 hour"), ["worker", "service", "start_us"], "update", label="t3s")
+    return drain(S.service_windows(beats, "1 hour", None), ["worker", "service", "start_us"], "update", label="t3s")
 
 
 @query(
@@ -113,7 +114,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     done = S.with_event_time(live(spark, sf).where("event_type = 'purchase'").select(c("user_id").alias("worker"), "t_us"))
-    return drain(S.throughput_sliding(done), ["worker", "start_us"], "update", label="t6")
+    return drain(S.throughput_sliding(done, late=None), ["worker", "start_us"], "update", label="t6")
 
 
 @query(
@@ -154,7 +155,7 @@ def _(spark, sf):
     "ev",
 )
 def _(spark, sf):
-    e = views.ev(spark, sf).where("event_type IN ('signup', 'error')")
+    e = live(spark, sf).where("event_type IN ('signup', 'error')")
     log = e.select(
         c("user_id").alias("worker"),
         "t_us",
@@ -163,4 +164,5 @@ def _(spark, sf):
         F.when(c("event_type") == "signup", "request").otherwise("executed").alias("kind"),
     )
     started = views.ev(spark, sf).where("event_type = 'view' AND k < 20").groupBy(c("user_id").alias("worker")).agg(F.max("t_us").alias("started_us"))
-    return S.pending_actions(log, started)
+    last = drain(S.last_actions(log), ["worker"], "update", label="t8")
+    return S.pending_actions(last, started)

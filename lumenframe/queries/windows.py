@@ -98,8 +98,7 @@ def _(spark, sf):
 
 @query(
     "w4_sliding_triplets",
-    """, f AS (SELECT event_id // 300 AS shoot, event_id % 300 AS number, name, ev FROM ev JOIN frames ON frame_id = event_id
-         WHERE event_id % 41 <> 40),
+    """, f AS (SELECT event_id // 300 AS shoot, event_id % 300 + event_id % 300 // 41 AS number, name, ev FROM ev JOIN frames ON frame_id = event_id),
        w AS (SELECT a.shoot, a.number AS start, [a.ev, b.ev, c.ev] AS evs, [a.name, b.name, c.name] AS nm FROM f a
          JOIN f b ON b.shoot = a.shoot AND b.number = a.number + 1 JOIN f c ON c.shoot = a.shoot AND c.number = a.number + 2),
        v AS (SELECT *, list_min(evs) AS lo, list_max(evs) AS hi FROM w),
@@ -108,15 +107,16 @@ def _(spark, sf):
          WHEN abs(evs[1] + evs[2] + evs[3] - lo - hi) > 1 THEN 'mid frame out of range' ELSE 'ok' END AS verdict FROM v),
        walk(shoot, i, free) AS (SELECT DISTINCT shoot, -1::BIGINT, 0::BIGINT FROM x UNION ALL
          SELECT walk.shoot, i + 1, CASE WHEN i + 1 >= free AND x.verdict = 'ok' THEN i + 4 ELSE free END
-         FROM walk LEFT JOIN x ON x.shoot = walk.shoot AND x.start = i + 1 WHERE i < 300)
+         FROM walk LEFT JOIN x ON x.shoot = walk.shoot AND x.start = i + 1 WHERE i < 320)
        SELECT x.shoot, start, verdict, CASE WHEN verdict = 'ok' THEN nm[u] END AS under,
          CASE WHEN verdict = 'ok' THEN nm[6 - u - o] END AS mid, CASE WHEN verdict = 'ok' THEN nm[o] END AS over
        FROM x JOIN walk ON walk.shoot = x.shoot AND walk.i = x.start - 1 WHERE start >= walk.free AND verdict <> 'flat'""",
     "frames",
 )
 def _(spark, sf):
-    f = views.frames(spark, sf).where("frame_id % 41 <> 40")
-    f = f.withColumn("shoot", F.expr("frame_id DIV 300")).withColumn("number", F.expr("frame_id % 300"))
+    # numbering skips one counter after every 41 frames
+    f = views.frames(spark, sf)
+    f = f.withColumn("shoot", F.expr("frame_id DIV 300")).withColumn("number", F.expr("frame_id % 300 + frame_id % 300 DIV 41"))
     return B.sliding_triplets(f, width=64)
 
 

@@ -148,12 +148,12 @@ def _(spark, sf):
 
 @query(
     "y1_score_batch",
-    """, s AS (SELECT vec_id, embedding[1:10] AS e FROM embeddings) SELECT vec_id, CASE WHEN vec_id % 23 <> 0 THEN 'class-' || (list_position(e, list_max(e)) - 1) END AS label,
+    """, s AS (SELECT vec_id, embedding AS e FROM embeddings) SELECT vec_id, CASE WHEN vec_id % 23 <> 0 THEN 'class-' || (list_position(e, list_max(e)) - 1) END AS label,
       CASE WHEN vec_id % 23 <> 0 THEN round(CAST(list_max(e) AS DOUBLE), 6) END AS confidence, CASE WHEN vec_id % 23 <> 0 THEN 'probe-1' END AS version, CASE WHEN vec_id % 23 = 0 THEN 'unreadable image' END AS reason FROM s""",
 )
 def _(spark, sf):
     e = views.table(spark, sf, "embeddings").select("vec_id", "embedding")
-    return U.score_batch(e, "vec_id", U.first_ten_model, "label string, confidence double, version string").select(
+    return U.score_batch(e, "vec_id", U.largest_feature_model, "label string, confidence double, version string").select(
         "vec_id", "label", F.round("confidence", 6).alias("confidence"), "version", "reason"
     )
 

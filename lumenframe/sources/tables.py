@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenframe.plans.ordered import digest, digest_slot, ranked
+
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str], where: Column | None = None, fmt: str = "parquet") -> DataFrame:
     """Projection scan; the filter and the columns reach the files."""
@@ -69,16 +71,17 @@ BOXES_PER_DOC = 10_000
 
 
 def write_annotations(boxes: DataFrame, path: str, box_key: str, per_doc: int = BOXES_PER_DOC) -> None:
-    """JSON documents from a box table: one per image, several where an image has very many boxes.
+    """JSON documents from a box table, in numbered parts of ``per_doc`` boxes for every image.
 
-    ``box_key`` tells the boxes of an image apart and deals them out to the documents.
+    Boxes go by a digest of ``box_key``, which tells those of an image apart; the first part is 0.
     """
-    sizes = boxes.groupBy("path").agg(F.ceil(F.count(F.lit(1)) / per_doc).alias("__docs"))
-    part = F.pmod(F.xxhash64(box_key), F.col("__docs"))
+    keyed = boxes.withColumn("__turn", digest("box", F.col(box_key).cast("string")))
+    placed = ranked(keyed, ["path"], digest_slot("__turn", 1), ["__turn"], "__place")
+    part = F.floor((F.col("__place") - 1) / per_doc).cast("int")
     box = F.array(*[F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")])
     entry = F.struct(box.alias("b"), F.col("label").cast("int").alias("l"))
-    docs = boxes.join(sizes, "path").groupBy("path", part.alias("__part")).agg(F.array_sort(F.collect_list(entry)).alias("r"))
-    docs.select("path", F.col("r.b").alias("boxes"), F.col("r.l").alias("labels")).write.mode("overwrite").json(path)
+    docs = placed.groupBy("path", part.alias("part")).agg(F.array_sort(F.collect_list(entry)).alias("r"))
+    docs.select("path", "part", F.col("r.b").alias("boxes"), F.col("r.l").alias("labels")).write.mode("overwrite").json(path)
 
 
 RUN = "shoot bigint, n_triplets int, triplets array<struct<under:string,mid:string,over:string,ms:bigint>>"

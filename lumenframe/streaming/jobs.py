@@ -21,10 +21,12 @@ def with_event_time(df: DataFrame, t_us: str = "t_us") -> DataFrame:
     return df.withColumn("t", F.timestamp_micros(t_us))
 
 
-def request_results(requests: DataFrame, failed: Column, message: Column, keep_for: str = "60 days", limit: int = 200) -> DataFrame:
-    """One result per request id; repeats within ``keep_for`` are dropped, bad requests become error rows."""
-    once = requests.withWatermark("t", keep_for).dropDuplicatesWithinWatermark(["id"])
-    return once.select(
+def request_results(requests: DataFrame, failed: Column, message: Column, limit: int = 200) -> DataFrame:
+    """A result per request, however old; bad requests become error rows.
+
+    Nothing is kept in state: the keyed sink knows which ids were answered (``drain(once=True)``).
+    """
+    return requests.select(
         "id",
         F.when(failed, "error").otherwise("done").alias("status"),
         F.when(failed, F.substring(message, 1, limit)).alias("error"),
@@ -36,9 +38,17 @@ def shard(requests: DataFrame, index: int, shards: int) -> DataFrame:
     return requests.where(hash_shard(F.col("id"), shards) == index)
 
 
-def heartbeat_windows(beats: DataFrame, width: str, late: str = "10 minutes") -> DataFrame:
-    """Per worker and tumbling window: load and memory, restarts, failed services."""
-    rows = beats.withWatermark("t", late).groupBy("worker", F.window("t", width).alias("w"))
+def _bounded(rows: DataFrame, late: str | None) -> DataFrame:
+    """Rows with a watermark, or without one where every late row must count."""
+    return rows.withWatermark("t", late) if late else rows
+
+
+def heartbeat_windows(beats: DataFrame, width: str, late: str | None = "10 minutes") -> DataFrame:
+    """Per worker and tumbling window: load and memory, restarts, failed services.
+
+    ``late`` bounds the state of a stream that never ends; None keeps every window open.
+    """
+    rows = _bounded(beats, late).groupBy("worker", F.window("t", width).alias("w"))
     got = rows.agg(
         F.count(F.lit(1)).alias("beats"),
         F.max("load").alias("max_load"),
@@ -57,9 +67,9 @@ def heartbeat_windows(beats: DataFrame, width: str, late: str = "10 minutes") ->
     )
 
 
-def service_windows(beats: DataFrame, width: str, late: str = "10 minutes") -> DataFrame:
+def service_windows(beats: DataFrame, width: str, late: str | None = "10 minutes") -> DataFrame:
     """Per worker, service and window: beats and failures (``services`` is an array of structs)."""
-    rows = beats.withWatermark("t", late).select("worker", "t", F.explode("services").alias("s"))
+    rows = _bounded(beats, late).select("worker", "t", F.explode("services").alias("s"))
     got = rows.groupBy("worker", F.col("s.name").alias("service"), F.window("t", width).alias("w")).agg(
         F.count(F.lit(1)).alias("beats"), F.count_if(F.col("s.status") == "failed").alias("failures")
     )
@@ -88,23 +98,29 @@ def progress(deltas: DataFrame) -> DataFrame:
     return deltas.groupBy("job").agg(*[F.sum(c).alias(c) for c in ("processed", "detected", "repaired", "failed")])
 
 
-def throughput_sliding(done: DataFrame, width: str = "1 hour", slide: str = "10 minutes", late: str = "1 hour") -> DataFrame:
+def throughput_sliding(done: DataFrame, width: str = "1 hour", slide: str = "10 minutes", late: str | None = "1 hour") -> DataFrame:
     """Results per worker in sliding windows."""
-    rows = done.withWatermark("t", late).groupBy("worker", F.window("t", width, slide).alias("w"))
+    rows = _bounded(done, late).groupBy("worker", F.window("t", width, slide).alias("w"))
     return rows.agg(F.count(F.lit(1)).alias("n")).select("worker", F.unix_micros("w.start").alias("start_us"), "n")
 
 
-def pending_actions(log: DataFrame, started: DataFrame) -> DataFrame:
-    """Newest action per worker that was not executed and is newer than the worker's start.
+def last_actions(log: DataFrame) -> DataFrame:
+    """The newest request and the newest execution of every worker, as state of constant size (update mode).
 
-    ``log`` has worker, t_us, seq, action and kind (request or executed); an execution clears
-    every earlier request.  One aggregate per worker, no self-join.
+    ``log`` has worker, t_us, seq, action and kind (request or executed).
     """
     at = F.struct("t_us", "seq", "action")
-    last = log.groupBy("worker").agg(
+    return log.groupBy("worker").agg(
         F.max(F.when(F.col("kind") == "request", at)).alias("ask"),
         F.max(F.when(F.col("kind") == "executed", F.struct("t_us", "seq"))).alias("ran"),
     )
+
+
+def pending_actions(last: DataFrame, started: DataFrame) -> DataFrame:
+    """Newest action per worker that was not executed and is newer than the worker's start.
+
+    ``last`` is the table of ``last_actions``; an execution clears every earlier request.
+    """
     open_ = last.where("ask IS NOT NULL").where(
         F.col("ran").isNull() | (F.struct("ask.t_us", "ask.seq") > F.col("ran"))
     )

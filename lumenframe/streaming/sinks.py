@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ def write_keyed(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The latest row per key over all batches."""
+    """The latest row per key over all batches that were written; at least one was."""
     rows = spark.read.option("basePath", path).parquet(path)
     rest = [c for c in rows.columns if c not in (*keys, "batch")]
     last = F.max_by(F.struct(*rest), "batch") if rest else F.max("batch")
@@ -25,14 +26,31 @@ def read_keyed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame
 
 
 def drain(
-    stream: DataFrame, keys: Sequence[str], mode: str, then: Callable[[DataFrame], DataFrame] | None = None, label: str = "stream"
+    stream: DataFrame,
+    keys: Sequence[str],
+    mode: str,
+    then: Callable[[DataFrame], DataFrame] | None = None,
+    label: str = "stream",
+    once: bool = False,
 ) -> DataFrame:
-    """Run a stream over everything available and return its keyed table."""
+    """Run a stream over everything available and return its keyed table.
+
+    ``once`` writes only keys that no earlier batch has written.  A source without rows gives an
+    empty table.  Rows that came behind a watermark and were left out are reported as a warning.
+    """
     spark = stream.sparkSession
     path = scratch(spark, label)
+    written: list[int] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_keyed(then(batch) if then else batch, f"{path}/out", batch_id)
+        rows = then(batch) if then else batch
+        if once:
+            rows = rows.dropDuplicates(list(keys))
+            if before := [b for b in written if b != batch_id]:
+                done = spark.read.parquet(*[f"{path}/out/batch={b}" for b in before]).select(*keys)
+                rows = rows.join(done, list(keys), "left_anti")
+        write_keyed(rows, f"{path}/out", batch_id)
+        written.append(batch_id)
 
     q = (
         stream.writeStream.outputMode(mode)
@@ -42,4 +60,10 @@ def drain(
         .start()
     )
     q.awaitTermination()
+    late = sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators)
+    if late:
+        warnings.warn(f"{label}: {late} rows came behind the watermark and were left out", stacklevel=2)
+    if not written:
+        empty = spark.createDataFrame([], stream.schema)
+        return then(empty) if then else empty
     return read_keyed(spark, f"{path}/out", keys)

@@ -13,6 +13,7 @@ from lumenframe.operators import writes as W
 from lumenframe.sources import images as I
 from lumenframe.sources import tables as T
 from lumenframe.streaming import jobs as J
+import __spark_entry__ as entry
 from lumenframe.streaming.sinks import drain, read_keyed, write_keyed
 
 
@@ -101,9 +102,9 @@ def test_explicit_null_overwrites_and_absent_keeps(spark):
 
 def test_only_the_bad_rows_of_a_batch_fail(spark):
     df = spark.range(100).select(F.col("id").alias("vec_id"), F.array(*[F.lit(float(i)) for i in range(12)]).alias("embedding"))
-    got = U.score_batch(df, "vec_id", U.first_ten_model, "label string, confidence double, version string").collect()
+    got = U.score_batch(df, "vec_id", U.largest_feature_model, "label string, confidence double, version string").collect()
     bad = {r.vec_id for r in got if r.reason}
-    assert bad == set(range(0, 100, 23)) and all(r.label == "class-9" for r in got if not r.reason)
+    assert bad == set(range(0, 100, 23)) and all(r.label == "class-11" for r in got if not r.reason)
 
 
 # ---- streams -----------------------------------------------------------------------------------------
@@ -119,9 +120,12 @@ def test_request_stream_survives_replays_and_bad_requests(spark, tmp_path):
     src.mkdir()
     feed(src, "1", [{"id": "a", "job": 1, "k": 1, "t_us": 1_000_000}, {"id": "b", "job": 1, "k": 0, "t_us": 2_000_000}])
     feed(src, "2", [{"id": "a", "job": 1, "k": 1, "t_us": 3_000_000}, {"id": "c", "job": 1, "k": 5, "t_us": 4_000_000}])
+    feed(src, "3", [{"id": "new", "job": 1, "k": 1, "t_us": 10**15}])
+    feed(src, "4", [{"id": "newer", "job": 1, "k": 1, "t_us": 10**15 + 1}])
+    feed(src, "5", [{"id": "old", "job": 1, "k": 1, "t_us": 5}])  # years behind the others
     stream = J.with_event_time(T.stream_requests(spark, str(src), files_per_batch=1))
-    got = drain(J.request_results(stream, F.col("k") == 0, F.lit("e" * 500)), ["id"], "append").collect()
-    assert {r.id: r.status for r in got} == {"a": "done", "b": "error", "c": "done"}
+    got = drain(J.request_results(stream, F.col("k") == 0, F.lit("e" * 500)), ["id"], "append", once=True).collect()
+    assert {r.id: r.status for r in got} == {"a": "done", "b": "error", "c": "done", "new": "done", "newer": "done", "old": "done"}
     assert {len(r.error) for r in got if r.error} == {200}
 
 
@@ -143,8 +147,25 @@ def test_late_beats_are_dropped_behind_the_watermark(spark, tmp_path):
     feed(src, "3", [{**beat, "seq": 3, "t_us": 200 * minute}])  # late rows are judged one batch later
     feed(src, "4", [{**beat, "seq": 4, "t_us": 199 * minute}, {**beat, "seq": 5, "t_us": 101 * minute}])
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(src))
-    got = drain(J.heartbeat_windows(J.with_event_time(stream), "1 minute"), ["worker", "start_us"], "update").collect()
+    with pytest.warns(UserWarning, match="1 rows came behind"):
+        got = drain(J.heartbeat_windows(J.with_event_time(stream), "1 minute"), ["worker", "start_us"], "update").collect()
     assert {r.start_us // minute for r in got} == {100, 199, 200}
+    every = drain(J.heartbeat_windows(J.with_event_time(stream), "1 minute", None), ["worker", "start_us"], "update").collect()
+    assert {r.start_us // minute for r in every} == {100, 101, 199, 200}
+
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["t1_request_stream", "t3_heartbeat_hours", "t4_worker_latest", "t5_progress_stream", "t6_throughput_sliding", "t8_pending_actions"])
+def test_streams_on_a_folder_of_parts_in_mixed_order(spark, tmp_path, name):
+    query = entry.queries()[name]
+    rows = spark.read.parquet(f"{FOLDER}/events.parquet")
+    rows.orderBy(F.xxhash64("event_id")).repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    assert sorted(query(spark, str(tmp_path)).collect()) == sorted(query(spark, FOLDER).collect())
+    nothing = tmp_path / "none"
+    rows.limit(0).write.parquet(str(nothing / "events.parquet"))
+    assert query(spark, str(nothing)).collect() == []
 
 
 def test_brackets_of_a_stream_equal_the_batch(spark, tmp_path):

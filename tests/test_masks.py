@@ -84,7 +84,7 @@ def test_a_long_snake_is_one_component(spark):
     snake = [(1, x, y) for y in range(0, 40, 2) for x in range(30)]
     snake += [(1, 29 if y % 4 == 1 else 0, y) for y in range(1, 39, 2)]
     df = spark.createDataFrame(snake, "image_id bigint, x int, y int")
-    assert M.connected_components(df, max_rounds=16).select("component").distinct().count() == 1
+    assert M.connected_components(df).select("component").distinct().count() == 1
 
 
 def test_iou_edges(spark):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lumenframe.operators import joins as J
 from lumenframe.operators import pairing as P
 from lumenframe.operators import sampling as S
 from lumenframe.operators import similarity as Y
@@ -78,12 +79,12 @@ def greedy(cands):
     return out
 
 
-@pytest.mark.parametrize("walk_rows", [0, 40, 10_000])
-def test_greedy_match_walk_and_rounds_agree(spark, walk_rows):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_greedy_match_equals_a_walk(spark, parts):
     rng = random.Random(11)
     cands = {(g, p * 3 % 17, p, t) for g in (1, 2) for p in range(17) for t in rng.sample(range(14), 4)}
-    df = spark.createDataFrame(sorted(cands), "g int, r int, p int, t int")
-    got = greedy_match(df, ["g"], "r", "p", "t", walk_rows).collect()
+    df = spark.createDataFrame(sorted(cands), "g int, r int, p int, t int").repartition(parts)
+    got = greedy_match(df, ["g"], "r", "p", "t").collect()
     assert {(x.g, x.p, x.t) for x in got} == greedy(cands)
 
 
@@ -137,6 +138,20 @@ def test_large_banks_are_scored_in_blocks_with_the_same_result(spark):
     assert {r.score for r in Y.topk_mean(df, bank.where("false"), "id", "vec", 4).collect()} == {0.0}
     few = Y.topk_mean(df, bank.limit(2), "id", "vec", 4).count()
     assert few == 120
+    # repeated keys stay rows of their own, and a bank needs no key
+    twice = df.unionByName(df.select("id", F.reverse("vec").alias("vec")))
+    small = sorted((r.id, round(r.score, 12)) for r in Y.topk_mean(twice, bank.select("vec"), "id", "vec", 4).collect())
+    large = sorted((r.id, round(r.score, 12)) for r in Y.topk_mean(twice, bank.select("vec"), "id", "vec", 4, bank_rows=7).collect())
+    assert small == large and len(small) == 240
+
+
+def test_every_plate_can_be_chosen(spark):
+    plates = spark.range(500).select(F.col("id").alias("plate_id"), F.concat(F.lit("p"), "id").alias("plate_path"))
+    photos = spark.range(4000).select(F.col("id").alias("job_id"), F.lit("s").alias("stem"), F.lit("k").alias("object_key"))
+    classes = photos.select("job_id", "stem", F.lit(False).alias("is_interior"))
+    got = J.exterior_requests(photos, classes, plates, ["job_id", "stem"]).collect()
+    assert len(got) == 4000 and len({r.plate_id for r in got}) > 480
+    assert J.exterior_requests(photos, classes, plates.limit(0), ["job_id", "stem"]).count() == 0
 
 
 def test_splits_keep_groups_whole_and_cover_all_rows(skewed):
