@@ -62,6 +62,50 @@ def with_lab(df: DataFrame, r: str, g: str, b: str, prefix: str) -> DataFrame:
     )
 
 
+def with_lab8(df: DataFrame, r: str, g: str, b: str, prefix: str) -> DataFrame:
+    """Lab as an 8-bit image stores it: L on 0 to 255, a and b moved by 128, whole numbers."""
+
+    def byte(v: Column) -> Column:
+        return F.least(F.lit(255), F.greatest(F.lit(0), F.round(v, 0).cast("int")))
+
+    return with_lab(df, r, g, b, "__").select(
+        *df.columns,
+        byte(F.col("__l") * 255.0 / 100.0).alias(f"{prefix}l"),
+        byte(F.col("__a") + 128.0).alias(f"{prefix}a"),
+        byte(F.col("__b") + 128.0).alias(f"{prefix}b"),
+    )
+
+
+def with_rgb(df: DataFrame, prefix: str) -> DataFrame:
+    """8-bit ``r``, ``g``, ``b`` from 8-bit Lab columns ``<prefix>l``, ``<prefix>a``, ``<prefix>b``, which go."""
+    names = [f"{prefix}{n}" for n in "lab"]
+    keep = [c for c in df.columns if c not in names]
+    l, a, b = (F.col(n) for n in names)
+    d = 6.0 / 29.0
+    rows = df.select(*keep, a, b, ((l * 100.0 / 255.0 + 16.0) / 116.0).alias("__fy"))
+    rows = rows.select(*keep, "__fy", (F.col("__fy") + (a - 128) / 500.0).alias("__fx"), (F.col("__fy") - (b - 128) / 200.0).alias("__fz"))
+
+    def back(t: Column) -> Column:
+        return F.when(t > d, t * t * t).otherwise((t - 4.0 / 29.0) * (3 * d * d))
+
+    # The D65 white, XYZ to sRGB primaries.
+    rows = rows.select(*keep, (back(F.col("__fx")) * 0.95047).alias("__x"), back(F.col("__fy")).alias("__y"), (back(F.col("__fz")) * 1.08883).alias("__z"))
+    x, y, z = F.col("__x"), F.col("__y"), F.col("__z")
+    rows = rows.select(
+        *keep,
+        (x * 3.2404542 - y * 1.5371385 - z * 0.4985314).alias("__r"),
+        (x * -0.9692660 + y * 1.8760108 + z * 0.0415560).alias("__g"),
+        (x * 0.0556434 - y * 0.2040259 + z * 1.0572252).alias("__b"),
+    )
+
+    def byte(v: Column) -> Column:
+        v = _clamp01(v)
+        shown = F.when(v <= 0.0031308, v * 12.92).otherwise(F.pow(v, F.lit(1.0 / 2.4)) * 1.055 - 0.055)
+        return F.round(_clamp01(shown) * 255.0, 0).cast("int")
+
+    return rows.select(*keep, *[byte(F.col(f"__{n}")).alias(n) for n in "rgb"])
+
+
 def _clamp01(c: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 

@@ -14,34 +14,40 @@ from lumenframe.plans.ordered import number_slot, prior, running_sum, total_of,
 from lumenframe.plans.quantiles import exact_quantiles
 
 
-def sky_frame_scores(pixels: DataFrame, is_sky: Column) -> DataFrame:
+def sky_frame_scores(pixels: DataFrame, is_sky: Column, min_coverage: float = 0.01) -> DataFrame:
     """Coverage and sky scores of every image; scores are NULL without sky pixels.
 
-    Sums stay integer and are divided once: saturation proxy max-min, warm axes R-G and G-B.
+    Means of 8-bit HSV saturation and of 8-bit Lab a and b over the sky; sums stay integer and are
+    divided once.  ``has_sky`` tests the coverage before it is rounded.
     """
-    r, g, b = F.col("r"), F.col("g"), F.col("b")
-    n = F.count_if(is_sky)
+    rows = K.with_lab8(pixels.withColumn("__sky", is_sky), "r", "g", "b", "__")
+    n = F.count_if("__sky")
 
     def mean(v: Column) -> Column:
-        return F.sum(F.when(is_sky, v)) / F.nullif(n, F.lit(0))
+        return F.sum(F.when(F.col("__sky"), v)) / F.nullif(n, F.lit(0))
 
-    sky = pixels.groupBy("image").agg(
+    sky = rows.groupBy("image").agg(
         (n / F.count(F.lit(1))).alias("cov"),
-        mean(K.chroma_range(r, g, b)).alias("s"),
-        mean(r - g).alias("a"),
-        mean(g - b).alias("b"),
+        mean(K.hsv_saturation(F.col("r"), F.col("g"), F.col("b"))).alias("s"),
+        mean(F.col("__a") - 128).alias("a"),
+        mean(F.col("__b") - 128).alias("b"),
     )
     scores = K.sky_scores(F.col("s"), F.col("a"), F.col("b"))
-    return sky.select("image", F.round("cov", 4).alias("coverage"), *[v.alias(k) for k, v in scores.items()])
+    seen = F.col("cov") >= min_coverage
+    return sky.select("image", seen.alias("has_sky"), F.round("cov", 4).alias("coverage"), *[v.alias(k) for k, v in scores.items()])
 
 
-def shoot_sky_decision(frames: DataFrame, shoot: str, threshold: float = 0.55, min_coverage: float = 0.01) -> DataFrame:
+#: Fixed value: the reason given for a shoot without sky.
+NO_SKY = "no_usable_sky_in_any_frame"
+
+
+def shoot_sky_decision(frames: DataFrame, shoot: str, threshold: float = 0.55) -> DataFrame:
     """Should the sky of a shoot be replaced?
 
     Coverages and scores carry 4 and 3 decimals, so they are summed as integers.  Medians run
     over at most 1,001 distinct values per shoot.
     """
-    usable = (F.col("coverage") >= min_coverage) & F.col("dull_score").isNotNull()
+    usable = F.col("has_sky") & F.col("dull_score").isNotNull()
     cov = F.when(usable, F.round(F.col("coverage") * 10_000).cast("long"))
 
     def milli(c: str) -> Column:
@@ -65,10 +71,10 @@ def shoot_sky_decision(frames: DataFrame, shoot: str, threshold: float = 0.55, m
         "n_with_sky",
         F.round(mean, 3).alias("weighted_mean_dull"),
         F.round(share, 3).alias("frac_high_dull"),
-        F.round(F.col("mb") / 1000, 4).alias("median_blue"),
-        F.round(F.col("mg") / 1000, 4).alias("median_golden"),
+        (F.floor(F.col("mb") + 0.5) / 1000).alias("median_blue"),
+        (F.floor(F.col("mg") + 0.5) / 1000).alias("median_golden"),
         F.when(none, False).otherwise((mean >= threshold) | (share >= 0.5)).alias("swap"),
-        F.when(none, "no usable sky in any frame").alias("reason"),
+        F.when(none, NO_SKY).alias("reason"),
     )
 
 
@@ -126,7 +132,8 @@ def rotation_estimate(tilts: DataFrame) -> DataFrame:
     return roll_weighted_median(tilts, negate=False).join(std, "image")
 
 
-RESIDUAL_BUCKETS = ("lt_0.25", "0.25-0.5", "0.5-1.0", "1.0-2.0", "gt_2.0")
+#: Names of the buckets.
+RESIDUAL_BUCKETS = ("0_lt_0.25", "1_0.25-0.5", "2_0.5-1.0", "3_1.0-2.0", "4_gt_2.0")
 
 
 def residual_histogram(rows: DataFrame, value: str) -> DataFrame:

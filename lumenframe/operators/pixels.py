@@ -274,23 +274,30 @@ def apply_mapping(values: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def reinhard_transfer(src: DataFrame, ref: DataFrame) -> DataFrame:
-    """Move mean and spread of every channel to the reference's; flat channels only shift."""
+    """Move mean and spread of the 8-bit Lab channels to the reference's; flat channels only shift.
 
-    def stats(values: DataFrame, tag: str) -> DataFrame:
-        agg = values.groupBy("image", "channel").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("value").alias("s"),
-            F.sum((F.col("value") * F.col("value")).cast("long")).alias("q"),
-        )
-        return agg.select("image", "channel", (F.col("s") / F.col("n")).alias(f"{tag}_m"), _spread("s", "q").alias(f"{tag}_s"))
+    ``src`` and ``ref`` have image, x, y, r, g, b; pixels stay where they are, only one row of sums
+    per image moves.
+    """
+    names = ("__l", "__a", "__b")
 
-    both = stats(src, "src").join(stats(ref, "ref"), ["image", "channel"])
-    rows = src.join(both, ["image", "channel"])
-    centred = F.col("value") - F.col("src_m")
-    out = F.when(F.col("src_s") < 1e-6, centred + F.col("ref_m")).otherwise(
-        centred * (F.col("ref_s") / F.col("src_s")) + F.col("ref_m")
-    )
-    return rows.select("image", "channel", "x", "y", to_byte(out).alias("value"))
+    def stats(lab: DataFrame, tag: str) -> DataFrame:
+        sums = [f(n) for n in names for f in (lambda n: F.sum(n).alias(f"s{n}"), lambda n: F.sum((F.col(n) * F.col(n)).cast("long")).alias(f"q{n}"))]
+        agg = lab.groupBy("image").agg(F.count(F.lit(1)).alias("n"), *sums)
+        means = [(F.col(f"s{n}") / F.col("n")).alias(f"{tag}_m{n}") for n in names]
+        return agg.select("image", *means, *[_spread(f"s{n}", f"q{n}").alias(f"{tag}_s{n}") for n in names])
+
+    lab = K.with_lab8(src, "r", "g", "b", "__")
+    both = stats(lab, "src").join(stats(K.with_lab8(ref, "r", "g", "b", "__"), "ref"), "image")
+    rows = lab.join(both, "image")
+
+    def moved(n: str) -> Column:
+        centred = F.col(n) - F.col(f"src_m{n}")
+        flat = F.col(f"src_s{n}") < 1e-6
+        return F.when(flat, centred + F.col(f"ref_m{n}")).otherwise(centred * (F.col(f"ref_s{n}") / F.col(f"src_s{n}")) + F.col(f"ref_m{n}"))
+
+    out = rows.select("image", "x", "y", *[to_byte(moved(n)).alias(n) for n in names])
+    return K.with_rgb(out, "__")
 
 
 LUT_SIZE = 33

@@ -77,7 +77,7 @@ def residuals(spark, sf):
     "a13_residual_histogram",
     _RESID
     + """, bk AS (SELECT CASE WHEN abs(cur) < 0.25 THEN 0 WHEN abs(cur) < 0.5 THEN 1 WHEN abs(cur) < 1 THEN 2 WHEN abs(cur) < 2 THEN 3 ELSE 4 END AS p FROM rd WHERE cur IS NOT NULL)
-      SELECT bucket, count(p) AS n FROM (VALUES (0, 'lt_0.25'), (1, '0.25-0.5'), (2, '0.5-1.0'), (3, '1.0-2.0'), (4, 'gt_2.0')) v(i, bucket) LEFT JOIN bk ON p = i GROUP BY bucket""",
+      SELECT bucket, count(p) AS n FROM (VALUES (0, '0_lt_0.25'), (1, '1_0.25-0.5'), (2, '2_0.5-1.0'), (3, '3_1.0-2.0'), (4, '4_gt_2.0')) v(i, bucket) LEFT JOIN bk ON p = i GROUP BY bucket""",
     "segments",
 )
 def _(spark, sf):
@@ -111,12 +111,12 @@ def _(spark, sf):
 @query(
     "a17_shoot_sky_decision",
     SKY_SQL
-    + """, us AS (SELECT image % 20 AS shoot, coverage >= 0.01::DOUBLE AND dull_score IS NOT NULL AS ok, CAST(round(coverage * 10000) AS BIGINT) AS cv, CAST(round(dull_score * 1000) AS BIGINT) AS dl, dull_score,
+    + """, us AS (SELECT image % 20 AS shoot, has_sky AND dull_score IS NOT NULL AS ok, CAST(round(coverage * 10000) AS BIGINT) AS cv, CAST(round(dull_score * 1000) AS BIGINT) AS dl, dull_score,
       CAST(round(blue_score * 1000) AS BIGINT) AS bl, CAST(round(golden_score * 1000) AS BIGINT) AS gl FROM scored),
       ag AS (SELECT shoot, count(*) AS n_frames, count_if(ok) AS n_with_sky, sum(cv * dl) FILTER (ok) / sum(cv) FILTER (ok) / 1000 AS mean, count_if(ok AND dull_score >= 0.55::DOUBLE) / nullif(count_if(ok), 0) AS share,
       quantile_cont(bl, 0.5) FILTER (ok) AS mb, quantile_cont(gl, 0.5) FILTER (ok) AS mg FROM us GROUP BY shoot)
-      SELECT shoot, n_frames, n_with_sky, round(mean, 3) AS weighted_mean_dull, round(share, 3) AS frac_high_dull, round(mb / 1000, 4) AS median_blue, round(mg / 1000, 4) AS median_golden,
-      CASE WHEN n_with_sky = 0 THEN false ELSE mean >= 0.55::DOUBLE OR share >= 0.5 END AS swap, CASE WHEN n_with_sky = 0 THEN 'no usable sky in any frame' END AS reason FROM ag""",
+      SELECT shoot, n_frames, n_with_sky, round(mean, 3) AS weighted_mean_dull, round(share, 3) AS frac_high_dull, floor(mb + 0.5::DOUBLE) / 1000 AS median_blue, floor(mg + 0.5::DOUBLE) / 1000 AS median_golden,
+      CASE WHEN n_with_sky = 0 THEN false ELSE mean >= 0.55::DOUBLE OR share >= 0.5 END AS swap, CASE WHEN n_with_sky = 0 THEN 'no_usable_sky_in_any_frame' END AS reason FROM ag""",
     "rgb",
 )
 def _(spark, sf):

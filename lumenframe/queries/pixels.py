@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lumenframe.operators import pixels as X
 from lumenframe.queries import views
 from lumenframe.queries.base import query
-from lumenframe.queries.scalars import lab_sql
+from lumenframe.queries.scalars import LAB8_SQL, lab_sql
 
 c = F.col
 
@@ -222,18 +222,38 @@ def _(spark, sf):
     return X.apply_mapping(src, X.match_channel_cdf(src, ref)).select("image", "channel", "x", "y", "mapped")
 
 
+def _moved(n: str) -> str:
+    return f"""CAST(floor(round(least(255.0{_D}, greatest(0.0{_D}, CASE WHEN s.d{n} < 1e-6{_D} THEN {n}8 - s.m{n} + t.m{n}
+        ELSE ({n}8 - s.m{n}) * (t.d{n} / s.d{n}) + t.m{n} END)), 9)) AS INT) AS {n}"""
+
+
+def _back(t: str) -> str:
+    return f"CASE WHEN {t} > 6.0{_D} / 29.0{_D} THEN {t} * {t} * {t} ELSE ({t} - 4.0{_D} / 29.0{_D}) * (3 * (6.0{_D} / 29.0{_D}) * (6.0{_D} / 29.0{_D})) END"
+
+
+def _shown(v: str) -> str:
+    v = f"greatest(0.0{_D}, least(1.0{_D}, {v}))"
+    s = f"CASE WHEN {v} <= 0.0031308{_D} THEN {v} * 12.92{_D} ELSE pow({v}, 1.0{_D} / 2.4{_D}) * 1.055{_D} - 0.055{_D} END"
+    return f"CAST(round(greatest(0.0{_D}, least(1.0{_D}, {s})) * 255.0{_D}) AS INT)"
+
+
 @query(
     "a24_reinhard_transfer",
-    _CHANNELS
-    + f""", st AS (SELECT image, channel, count(*) AS n, sum(value) AS s, sum(value * value) AS q FROM src GROUP BY ALL),
-      rt AS (SELECT image, channel, count(*) AS n, sum(value) AS s, sum(value * value) AS q FROM ref GROUP BY ALL),
-      m AS (SELECT image, channel, s / n AS sm, {_std('s', 'q')} AS ssd FROM st), r2 AS (SELECT image, channel, s / n AS rm, {_std('s', 'q')} AS rsd FROM rt)
-      SELECT image, channel, x, y, CAST(floor(round(least(255.0{_D}, greatest(0.0{_D}, CASE WHEN ssd < 1e-6{_D} THEN value - sm + rm
-        ELSE (value - sm) * (rsd / ssd) + rm END)), 9)) AS INT) AS value FROM src JOIN m USING (image, channel) JOIN r2 USING (image, channel)""",
+    lab_sql("rgb")
+    + LAB8_SQL
+    + f""", sm AS (SELECT image, {", ".join(f"sum({n}8) / count(*) AS m{n}, sqrt(greatest(0.0{_D}, sum({n}8 * {n}8){_D} / count(*) - (sum({n}8) / count(*)) * (sum({n}8) / count(*)))) AS d{n}" for n in "lab")} FROM lab8 GROUP BY image),
+      mv AS (SELECT p.image // 2 AS image, x, y, {", ".join(_moved(n) for n in "lab")} FROM lab8 p JOIN sm s ON s.image = p.image JOIN sm t ON t.image = p.image + 1 WHERE p.image % 2 = 0),
+      fs AS (SELECT image, x, y, (l * 100.0{_D} / 255.0{_D} + 16.0{_D}) / 116.0{_D} AS fy, a, b FROM mv),
+      f3 AS (SELECT image, x, y, fy, fy + (a - 128) / 500.0{_D} AS fx, fy - (b - 128) / 200.0{_D} AS fz FROM fs),
+      xyz3 AS (SELECT image, x, y, ({_back("fx")}) * 0.95047{_D} AS px, {_back("fy")} AS py, ({_back("fz")}) * 1.08883{_D} AS pz FROM f3),
+      rgb3 AS (SELECT image, x, y, px * 3.2404542{_D} - py * 1.5371385{_D} - pz * 0.4985314{_D} AS lr, px * -0.9692660{_D} + py * 1.8760108{_D} + pz * 0.0415560{_D} AS lg,
+        px * 0.0556434{_D} - py * 0.2040259{_D} + pz * 1.0572252{_D} AS lb FROM xyz3)
+      SELECT image, x, y, {_shown("lr")} AS r, {_shown("lg")} AS g, {_shown("lb")} AS b FROM rgb3""",
     "rgb",
 )
 def _(spark, sf):
-    return X.reinhard_transfer(*_src_ref(spark, sf))
+    p = views.rgb(spark, sf).withColumn("odd", c("image") % 2).withColumn("image", F.floor(c("image") / 2))
+    return X.reinhard_transfer(p.where("odd = 0").drop("odd"), p.where("odd = 1").drop("odd"))
 
 
 _LUT = """, lp AS (SELECT o.b, o.g, o.r, v.b AS tb, v.g AS tg, v.r AS tr FROM rgb o JOIN rgb v ON o.image % 2 = 0 AND v.image = o.image + 1 AND v.x = o.x AND v.y = o.y),

@@ -373,14 +373,21 @@ def _(spark, sf):
     )
 
 
-SKY_SQL = """, sky AS (SELECT image, sum(CASE WHEN b > r THEN 1 ELSE 0 END) / count(*) AS cov,
-    sum(CASE WHEN b > r THEN greatest(r, g, b) - least(r, g, b) END) / sum(CASE WHEN b > r THEN 1 END) AS s,
-    sum(CASE WHEN b > r THEN r - g END) / sum(CASE WHEN b > r THEN 1 END) AS a,
-    sum(CASE WHEN b > r THEN g - b END) / sum(CASE WHEN b > r THEN 1 END) AS bb FROM rgb GROUP BY image),
+LAB8_SQL = """, lab8 AS (SELECT * EXCLUDE (lab_l, lab_a, lab_b), CAST(least(255, greatest(0, round(lab_l * 255.0::DOUBLE / 100.0::DOUBLE))) AS INT) AS l8,
+    CAST(least(255, greatest(0, round(lab_a + 128.0::DOUBLE))) AS INT) AS a8, CAST(least(255, greatest(0, round(lab_b + 128.0::DOUBLE))) AS INT) AS b8 FROM lab)"""
+
+SKY_SQL = (
+    lab_sql("rgb")
+    + LAB8_SQL
+    + """, sky AS (SELECT image, sum(CASE WHEN b > r THEN 1 ELSE 0 END) / count(*) AS cov,
+    sum(CASE WHEN b > r THEN (greatest(r, g, b) - least(r, g, b)) * 255 // greatest(r, g, b) END) / sum(CASE WHEN b > r THEN 1 END) AS s,
+    sum(CASE WHEN b > r THEN a8 - 128 END) / sum(CASE WHEN b > r THEN 1 END) AS a,
+    sum(CASE WHEN b > r THEN b8 - 128 END) / sum(CASE WHEN b > r THEN 1 END) AS bb FROM lab8 GROUP BY image),
   raw AS (SELECT image, cov, greatest(0.0::DOUBLE, least(1.0::DOUBLE, s / 60)) * greatest(0.0::DOUBLE, least(1.0::DOUBLE, -bb / 25)) AS blue,
     greatest(0.0::DOUBLE, least(1.0::DOUBLE, s / 60)) * greatest(0.0::DOUBLE, least(1.0::DOUBLE, (greatest(0.0::DOUBLE, a) + greatest(0.0::DOUBLE, bb)) / 30)) AS gold FROM sky),
-  scored AS (SELECT image, round(cov, 4) AS coverage, round(blue, 3) AS blue_score, round(gold, 3) AS golden_score,
+  scored AS (SELECT image, cov >= 0.01::DOUBLE AS has_sky, round(cov, 4) AS coverage, round(blue, 3) AS blue_score, round(gold, 3) AS golden_score,
     round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - greatest(blue, gold))), 3) AS dull_score FROM raw)"""
+)
 
 
 def sky_frames(spark, sf):
