@@ -35,6 +35,13 @@ def _spread(total: str, squares: str, n: str = "n") -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.col(squares).cast("double") / F.col(n) - mean * mean))
 
 
+def downscale(pixels: DataFrame, factor: int) -> DataFrame:
+    """Box means over ``factor`` by ``factor`` pixels, rounded half up; partial boxes at the edges count."""
+    n = F.count(F.lit(1))
+    box = pixels.groupBy("image", *[F.floor(F.col(c) / factor).cast("int").alias(c) for c in ("x", "y")])
+    return box.agg(*[F.floor((2 * F.sum(c) + n) / (2 * n)).cast("int").alias(c) for c in ("r", "g", "b")])
+
+
 def image_stats_601(pixels: DataFrame) -> DataFrame:
     """The twelve style metrics with BT.601 luma.
 
@@ -123,8 +130,8 @@ def long_deltas(pairs: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame
     return pairs.select(key, F.inline(cells))
 
 
-def gap_summary(pairs: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
-    """Means of both sides and mean, median and spread of the delta, per metric."""
+def gap_summary(pairs: DataFrame, key: str, metrics: Sequence[str], with_median: bool = True) -> DataFrame:
+    """Means of both sides and mean, median (on request) and spread of the delta, per metric."""
     rows = long_deltas(pairs, key, metrics)
     means = rows.groupBy("metric").agg(
         F.round(F.avg("ours"), 9).alias("ours_mean"),
@@ -132,6 +139,8 @@ def gap_summary(pairs: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame
         F.round(F.avg("delta"), 9).alias("d_mean"),
         F.round(F.stddev_pop("delta"), 9).alias("d_std"),
     )
+    if not with_median:
+        return means
     median = exact_quantiles(rows, ["metric"], "delta", {"d_median": 0.5})
     return means.join(median.withColumn("d_median", F.round("d_median", 9)), "metric")
 

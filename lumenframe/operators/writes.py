@@ -10,14 +10,24 @@ from pyspark.sql import functions as F
 _P = "__patch"
 
 
-def guarded_update(base: DataFrame, patch: DataFrame, keys: Sequence[str], guard: Column, sets: Mapping[str, Column]) -> DataFrame:
+def _last(patch: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
+    """``keys`` and ``patch`` (a struct of the rest), one row per key: the last by ``order``, then by content."""
+    whole = F.struct(*[c for c in patch.columns if c not in keys])
+    text = F.to_json(whole)
+    rank = F.struct(F.col(order), text) if order else text
+    return patch.groupBy(*keys).agg(F.max_by(whole, rank).alias("patch"))
+
+
+def guarded_update(
+    base: DataFrame, patch: DataFrame, keys: Sequence[str], guard: Column, sets: Mapping[str, Column], order: str | None = None
+) -> DataFrame:
     """Set columns on rows that have a patch and pass the guard; ``updated`` tells which.
 
-    ``sets`` are expressions over base columns and ``patch.<column>``; a guard may use both.
-    ``patch`` has one row per key.
+    ``sets`` are expressions over base columns and ``patch.<column>``; a guard may use both.  Of
+    several patches of a key the last by ``order`` counts; rows of ``base`` are never multiplied.
     """
     keys = list(keys)
-    packed = patch.select(*keys, F.struct(*[c for c in patch.columns if c not in keys]).alias("patch"))
+    packed = _last(patch, keys, order)
     rows = base.join(packed, keys, "left")
     hit = F.col("patch").isNotNull() & F.coalesce(guard, F.lit(False))
     out = [
@@ -26,22 +36,34 @@ def guarded_update(base: DataFrame, patch: DataFrame, keys: Sequence[str], guard
     return rows.select(*out, hit.alias("updated"))
 
 
-def merge_bag(old: Column, patch: Column) -> Column:
-    """Right-biased merge of a JSON bag and a map; NULL or anything but an object counts as empty."""
-    bag = F.from_json(old, "map<string,string>")
-    empty = F.create_map().cast("map<string,string>")
-    new = F.coalesce(patch, empty)
-    kept = F.map_filter(F.coalesce(bag, empty), lambda k, _: ~F.map_contains_key(new, k))
-    return F.map_concat(kept, new)
+def merge_json(old: Column, patch: Column) -> Column:
+    """Right-biased merge of two JSON objects, members in key order; numbers, booleans, NULLs and
+    nested values keep their types.  NULL or anything but an object counts as empty."""
+    empty = F.expr("CAST(map() AS map<string,variant>)")
+
+    def bag(text: Column) -> Column:
+        return F.coalesce(F.from_json(text, "map<string,variant>"), empty)
+
+    def merged(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        names = F.array_sort(F.array_union(F.map_keys(a), F.map_keys(b)))
+        values = F.transform(names, lambda k: F.when(F.map_contains_key(b, k), F.try_element_at(b, k)).otherwise(F.try_element_at(a, k)))
+        return F.to_json(F.map_from_arrays(names, values))
+
+    return F.get(F.transform(F.array(F.struct(bag(old).alias("a"), bag(patch).alias("b"))), merged), F.lit(0))
 
 
-def partial_upsert(base: DataFrame, patches: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def partial_upsert(
+    base: DataFrame, patches: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str | None = None
+) -> DataFrame:
     """Upsert by key; ``patches`` carries a map ``patch`` of text values.
 
-    A column missing from the map keeps its value, one mapped to NULL is overwritten with NULL.
+    A column missing from the map keeps its value, one mapped to NULL is overwritten with NULL.  Of
+    several patches of a key the last by ``order`` counts.
     """
     keys = list(keys)
-    both = base.join(patches.select(*keys, "patch"), keys, "full_outer")
+    last = _last(patches.select(*keys, "patch", *([order] if order else [])), keys, order)
+    both = base.join(last.select(*keys, F.col("patch.patch").alias("patch")), keys, "full_outer")
     out = []
     for c in columns:
         given = F.coalesce(F.map_contains_key("patch", c), F.lit(False))

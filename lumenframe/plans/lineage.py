@@ -2,7 +2,7 @@
 
 Loops must survive the loss of an executor, so a cut is always a reliable
 checkpoint in the shared folder the session names; a private folder is made
-only when the session names none (tests on one machine).
+only when the session names none and runs on one machine.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lumenframe-"))
     return sc.getCheckpointDir().rstrip("/")
 

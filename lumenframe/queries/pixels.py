@@ -57,8 +57,8 @@ def pairs601(spark, sf):
     return X.paired_delta(s.where("image % 2 = 0"), s.where("image % 2 = 1"), "pair", M6)
 
 
-def summary(spark, sf):
-    return X.gap_summary(pairs601(spark, sf), "pair", M6)
+def summary(spark, sf, with_median=True):
+    return X.gap_summary(pairs601(spark, sf), "pair", M6, with_median)
 
 
 @query("a1_image_stats_601", STATS_601 + " SELECT * FROM stats6", "rgb")
@@ -66,6 +66,15 @@ def _(spark, sf):
     return X.image_stats_601(views.rgb(spark, sf))
 
 
+_SMALL = """, small AS (SELECT image, x // 2 AS x, y // 2 AS y, CAST((2 * sum(r) + count(*)) // (2 * count(*)) AS INT) AS r,
+  CAST((2 * sum(g) + count(*)) // (2 * count(*)) AS INT) AS g, CAST((2 * sum(b) + count(*)) // (2 * count(*)) AS INT) AS b FROM rgb GROUP BY image, x // 2, y // 2)"""
+
+
+@query("a1_downscaled_stats", _SMALL + STATS_601.replace("FROM rgb", "FROM small") + " SELECT * FROM stats6", "rgb")
+def _(spark, sf):
+    return X.image_stats_601(X.downscale(views.rgb(spark, sf), 2))
+
+
 @query("a2_image_stats_709", STATS_709 + " SELECT * FROM stats7", "rgb")
 def _(spark, sf):
     return X.image_stats_709(views.rgb(spark, sf))
@@ -101,7 +110,7 @@ def _cell(m, col):
     "rgb",
 )
 def _(spark, sf):
-    return X.suggested_corrections(summary(spark, sf))
+    return X.suggested_corrections(summary(spark, sf, False))
 
 
 @query(
@@ -112,7 +121,7 @@ def _(spark, sf):
     "rgb",
 )
 def _(spark, sf):
-    return X.bias_verdict(summary(spark, sf))
+    return X.bias_verdict(summary(spark, sf, False))
 
 
 @query(

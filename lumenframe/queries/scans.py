@@ -118,14 +118,20 @@ def _(spark, sf):
 @query(
     "s9_image_catalog",
     """, f AS (SELECT vec_id, CASE WHEN vec_id % 10 = 9 THEN NULL ELSE 8 + vec_id % 500 END AS width, CASE WHEN vec_id % 10 = 9 THEN NULL ELSE 8 + label END AS height FROM embeddings)
-       SELECT 'img-' || vec_id AS path, CASE vec_id % 10 WHEN 9 THEN 4 WHEN 8 THEN 19 ELSE 29 END AS bytes, CAST(width AS INT) AS width, CAST(height AS INT) AS height FROM f""",
+       SELECT 'img-' || vec_id AS path, CASE vec_id % 10 WHEN 9 THEN 4 WHEN 8 THEN 19 WHEN 7 THEN 30 WHEN 6 THEN 34 ELSE 29 END AS bytes, CAST(width AS INT) AS width, CAST(height AS INT) AS height FROM f""",
 )
 def _(spark, sf):
     e = views.table(spark, sf, "embeddings").select("vec_id", "label")
     w, h = F.lpad(F.hex(c("vec_id") % 500 + 8), 8, "0"), F.lpad(F.hex(c("label") + 8), 8, "0")
     png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), w, h, F.lit("0802000000"))
     jpg = F.concat(F.lit("FFD8FFE000044A46FFC0000B08"), F.substring(h, 5, 4), F.substring(w, 5, 4), F.lit("0000"))
-    data = F.unhex(F.when(c("vec_id") % 10 == 9, "00FF00FF").when(c("vec_id") % 10 == 8, jpg).otherwise(png))
+    # extended WebP holds width and height less one, low byte first; TIFF here is high byte first
+    less = [F.lpad(F.hex(v - 1), 6, "0") for v in (c("vec_id") % 500 + 8, c("label") + 8)]
+    low = [F.concat(F.substring(v, 5, 2), F.substring(v, 3, 2), F.substring(v, 1, 2)) for v in less]
+    webp = F.concat(F.lit("524946461600000057454250565038580A00000000000000"), *low)
+    tiff = F.concat(F.lit("4D4D002A0000000800020100000400000001"), w, F.lit("01010004" + "00000001"), h)
+    kind = c("vec_id") % 10
+    data = F.unhex(F.when(kind == 9, "00FF00FF").when(kind == 8, jpg).when(kind == 7, webp).when(kind == 6, tiff).otherwise(png))
     files = e.select(F.expr("concat('img-', vec_id)").alias("path"), data.alias("content")).withColumn("length", F.octet_length("content"))
     return I.catalog_of(files).select("path", c("bytes").cast("long").alias("bytes"), "width", "height")
 
@@ -140,3 +146,17 @@ def _(spark, sf):
     r = views.reviews(spark, sf).where("output_path IS NOT NULL").select("job_id", "stem")
     ordered = assign_sort_order(r, ["job_id"], F.substring("stem", 1, 7), ["stem"], 1)
     return T.output_keys(ordered, "job_id", "sort_order", "stem").select("job_id", "stem", "key")
+
+
+@query(
+    "s10_written_by_job",
+    """, r AS (SELECT job_id, stem, row_number() OVER (PARTITION BY job_id ORDER BY stem) AS i FROM reviews WHERE output_path IS NOT NULL)
+       SELECT job_id, stem, 'tours/' || job_id || '/photos/' || lpad(CAST(i AS VARCHAR), 4, '0') || '-' || stem || '.jpg' AS key FROM r""",
+    "reviews",
+)
+def _(spark, sf):
+    from lumenframe.queries.base import QUERIES
+
+    path = scratch(spark, "by-job")
+    T.write_by_job(QUERIES["s10_output_keys"](spark, sf), path, "job_id")
+    return spark.read.parquet(path).drop("job_bucket")

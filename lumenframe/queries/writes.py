@@ -58,20 +58,18 @@ def _(spark, sf):
 
 
 @query(
-    "x2_merge_bag",
+    "x2_merge_json",
     """, o AS (SELECT job_id, stem, CASE WHEN supp_no % 5 = 0 THEN '[1,2]' ELSE conditions END AS old, part_no FROM reviews),
-      k AS (SELECT job_id, stem, CASE WHEN old LIKE '{%' THEN old->>'$.dust' END AS dust, CASE WHEN old LIKE '{%' THEN old->>'$.glare' END AS glare, part_no FROM o)
-      SELECT job_id, stem, concat_ws(',', 'dust=' || dust, 'glare=' || CASE WHEN part_no % 2 = 0 THEN 'patched' ELSE glare END, 'subtype=v1') AS bag FROM k""",
+      k AS (SELECT job_id, stem, CASE WHEN old LIKE '{%' THEN old->'$.dust' END AS dust, CASE WHEN old LIKE '{%' THEN old->'$.glare' END AS glare, part_no FROM o)
+      SELECT job_id, stem, '{' || concat_ws(',', '"dust":' || dust, '"glare":' || CASE WHEN part_no % 2 = 0 THEN 'true' ELSE glare::VARCHAR END, '"n":' || part_no, '"seen":{"by":["a",null],"ok":false}', '"subtype":"v1"') || '}' AS bag FROM k""",
     "reviews",
 )
 def _(spark, sf):
     r = views.reviews(spark, sf)
     old = F.when(c("supp_no") % 5 == 0, "[1,2]").otherwise(c("conditions"))
-    patch = F.when(c("part_no") % 2 == 0, F.create_map(F.lit("subtype"), F.lit("v1"), F.lit("glare"), F.lit("patched"))).otherwise(
-        F.create_map(F.lit("subtype"), F.lit("v1"))
-    )
-    bag = F.array_sort(F.map_entries(W.merge_bag(old, patch)))
-    return r.select("job_id", "stem", F.array_join(F.transform(bag, lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("bag"))
+    glare = F.when(c("part_no") % 2 == 0, F.lit(', "glare": true')).otherwise(F.lit(""))
+    patch = F.concat(F.lit('{"subtype": "v1", "seen": {"by": ["a", null], "ok": false}, "n": '), c("part_no").cast("string"), glare, F.lit("}"))
+    return r.select("job_id", "stem", W.merge_json(old, patch).alias("bag"))
 
 
 @query(
@@ -185,7 +183,17 @@ def _(spark, sf):
     return U.per_group_in_order(hits, ["shoot"], ["start"], _consume, "shoot bigint, start bigint")
 
 
-@query("y3_linear_probe")
+@query(
+    "y3_linear_probe",
+    """, e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label = 3 AS t, row_number() OVER (ORDER BY md5('0|' || vec_id), vec_id) AS rn, floor(count(*) OVER () * 0.2::DOUBLE) AS n_val FROM embeddings),
+      u AS (SELECT t, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM e WHERE rn > n_val),
+      m AS (SELECT i, avg(x) FILTER (t) AS m1, avg(x) FILTER (NOT t) AS m0 FROM u GROUP BY i),
+      w AS (SELECT list(m1 - m0 ORDER BY i) AS w, sum((m1 - m0) * (m1 + m0)) / 2 AS cut FROM m),
+      p AS (SELECT t, round(list_dot_product(v, w) - cut, 9) > 0 AS p FROM e, w WHERE rn <= n_val),
+      a AS (SELECT count(*) AS n, count_if(t AND p) AS tp, count_if(NOT t AND p) AS fp, count_if(t AND NOT p) AS fn, count_if(t = p) AS hit FROM p),
+      r AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS precision, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall FROM a)
+      SELECT tp, fp, fn, precision, recall, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1, hit / n AS accuracy FROM r""",
+)
 def _(spark, sf):
     e = views.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
     labelled = e.select("vec_id", "embedding", (c("label") == 3).cast("int").alias("label"))

@@ -116,6 +116,22 @@ def output_keys(df: DataFrame, job: str, order: str, stem: str) -> DataFrame:
     return df.withColumn("key", F.format_string("tours/%s/photos/%04d-%s.jpg", F.col(job).cast("string"), order, stem))
 
 
-def write_by_job(df: DataFrame, path: str, job: str) -> None:
-    """Parquet laid out by job, so that a job's rows are read without touching others."""
-    df.write.mode("overwrite").partitionBy(job).parquet(path)
+JOB_BUCKETS = 64
+
+
+def write_by_job(df: DataFrame, path: str, job: str, buckets: int = JOB_BUCKETS) -> None:
+    """Parquet in folders by a hash of the job: a reader of one job opens one folder.
+
+    Tasks are dealt by folder and split where one is large, so the number of files follows the
+    data, not tasks times jobs.
+    """
+    laid = df.withColumn("job_bucket", F.pmod(F.xxhash64(F.col(job)), F.lit(buckets)).cast("int"))
+    laid.hint("rebalance", "job_bucket").write.mode("overwrite").partitionBy("job_bucket").parquet(path)
+
+
+def read_jobs(spark: SparkSession, path: str, job: str, jobs: Sequence, buckets: int = JOB_BUCKETS) -> DataFrame:
+    """The rows of some jobs; only their folders are listed and read."""
+    rows = spark.read.parquet(path)
+    wanted = [F.lit(j).cast(rows.schema[job].dataType) for j in jobs]
+    numbers = spark.range(1).select(F.array(*[F.pmod(F.xxhash64(j), F.lit(buckets)).cast("int") for j in wanted])).first()[0]
+    return rows.where(F.col("job_bucket").isin(*set(numbers)) & F.col(job).isin(*wanted)).drop("job_bucket")

@@ -85,12 +85,40 @@ def test_image_catalog(spark, tmp_path):
     assert got == {"a.png": (640, 480, 29), "b.jpg": (400, 300, 2 + len(exif) + len(sof)), "c.jpg": (None, None, 6)}
 
 
-def test_layout_by_job_prunes_partitions(spark, tmp_path):
-    df = spark.range(10).select((F.col("id") % 3).alias("job_id"), "id")
-    T.write_by_job(df, str(tmp_path / "out"), "job_id")
-    back = spark.read.parquet(str(tmp_path / "out")).where("job_id = 1")
-    assert back.count() == 3
-    assert "PartitionFilters: [isnotnull(job_id" in back._jdf.queryExecution().toString()
+def test_layout_by_job_reads_one_folder(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 300).alias("job_id"), "id")
+    T.write_by_job(df, str(tmp_path / "out"), "job_id", buckets=8)
+    assert len(list((tmp_path / "out").glob("job_bucket=*"))) == 8
+    back = T.read_jobs(spark, str(tmp_path / "out"), "job_id", [1, 2], buckets=8)
+    assert sorted(r.id for r in back.collect()) == sorted(i for i in range(1000) if i % 300 in (1, 2))
+    assert "PartitionFilters: [job_bucket" in back._jdf.queryExecution().toString()
+
+
+def test_sizes_of_webp_and_tiff():
+    riff = lambda kind, rest: b"RIFF\0\0\0\0WEBP" + kind + b"\0\0\0\0" + rest
+    assert I.header_size(riff(b"VP8X", b"\0\0\0\0" + (399).to_bytes(3, "little") + (299).to_bytes(3, "little"))) == (400, 300)
+    assert I.header_size(riff(b"VP8L", b"\x2f" + (399 | 299 << 14).to_bytes(4, "little"))) == (400, 300)
+    assert I.header_size(riff(b"VP8 ", b"\0\0\0\x9d\x01\x2a" + (400).to_bytes(2, "little") + (300).to_bytes(2, "little"))) == (400, 300)
+    assert I.header_size(riff(b"VP8X", b"")) is None
+    entry = lambda tag, kind, v: tag.to_bytes(2, "little") + kind.to_bytes(2, "little") + (1).to_bytes(4, "little") + v.to_bytes(4, "little")
+    tiff = b"II*\0" + (8).to_bytes(4, "little") + (3).to_bytes(2, "little") + entry(254, 4, 0) + entry(256, 3, 400) + entry(257, 4, 300)
+    assert I.header_size(tiff) == (400, 300)
+    assert I.header_size(tiff[:30]) is None and I.header_size(b"II*\0") is None
+
+
+def test_repeated_patches_never_multiply_rows(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    patch = spark.createDataFrame([(1, "x", 5), (1, "y", 9), (1, "z", 7)], "k int, v string, at int")
+    got = {(r.k, r.v, r.updated) for r in W.guarded_update(base, patch, ["k"], F.lit(True), {"v": F.col("patch.v")}, "at").collect()}
+    assert got == {(1, "y", True), (2, "b", False)}
+    maps = spark.createDataFrame([(1, {"v": "p"}, 2), (1, {"v": "q"}, 1)], "k int, patch map<string,string>, at int")
+    assert {(r.k, r.v) for r in W.partial_upsert(base, maps, ["k"], ["v"], "at").collect()} == {(1, "p"), (2, "b")}
+
+
+def test_json_merge_keeps_types(spark):
+    df = spark.createDataFrame([('{"b": 1.5, "a": {"x": [1, null]}, "c": "t"}', '{"b": true, "d": null}'), (None, "{}"), ("[1]", '{"z": 0}'), ("{}", None)], "o string, p string")
+    got = [r.m for r in df.select(W.merge_json(F.col("o"), F.col("p")).alias("m")).collect()]
+    assert got == ['{"a":{"x":[1,null]},"b":true,"c":"t","d":null}', "{}", '{"z":0}', "{}"]
 
 
 def test_explicit_null_overwrites_and_absent_keeps(spark):
