@@ -55,6 +55,7 @@ def frame_number(name: Column) -> Column:
 
 def is_copy_name(name: Column) -> Column:
     """True for renamed duplicates such as ``x (1).ARW``."""
+    # fixed value: the mark of a renamed duplicate
     return name.rlike(r"\s\(\d+\)\.[A-Za-z0-9]+$")
 
 
@@ -100,6 +101,7 @@ def storage_route(path: Column, team_prefix: str, team: str, archive: str) -> Co
     return F.concat(store, bare)
 
 
+# Fixed value: date, number, address and, in brackets, a note.
 _SHOOT = r"^(\d{2}\.\d{2}\.\d{4})\s+(\d+)\s+([^()]+?)(?:\s+\(([^)]+)\))?\s*$"
 
 

@@ -243,13 +243,13 @@ def tail_duplicate(df: DataFrame, label: str, below3: int = 350, below2: int = 8
 # ---- detection ------------------------------------------------------------------------------------
 
 
-def match_detections(detections: DataFrame, truth: DataFrame, cell: int = 16, min_iou: float = 0.5) -> DataFrame:
+def match_detections(detections: DataFrame, truth: DataFrame, min_iou: float = 0.5) -> DataFrame:
     """(image, cls, box_id) of detections that win a truth box.
 
     In score order every detection takes the first free truth box it overlaps enough, settled
     in distributed rounds.
     """
-    pairs = box_pairs(detections, truth, ["image", "cls"], min_iou, cell)
+    pairs = box_pairs(detections, truth, ["image", "cls"], min_iou)
     order = F.struct(
         (-F.col("a_score")).alias("s"), (-F.col("a_x0")).alias("a"), (-F.col("a_y0")).alias("b"),
         (-F.col("a_x1")).alias("c"), (-F.col("a_y1")).alias("d"), F.col("a_box_id").alias("e"),
@@ -258,14 +258,14 @@ def match_detections(detections: DataFrame, truth: DataFrame, cell: int = 16, mi
     return greedy_match(cands, ["image", "cls"], "rank", "box_id", "target").select("image", "cls", "box_id")
 
 
-def average_precision(detections: DataFrame, truth: DataFrame, cell: int = 16) -> DataFrame:
+def average_precision(detections: DataFrame, truth: DataFrame) -> DataFrame:
     """AP at IoU 0.5 per class: sum of precision at every hit over the number of truth boxes.
 
     Detections are ranked over all images of a class by (score, image, box) descending; scores
     carry four decimals.  A class without truth boxes has AP NaN.
     """
     det = detections.withColumn("score", F.round("score", 4))
-    hits = match_detections(det, truth, cell).withColumn("hit", F.lit(1).cast("long"))
+    hits = match_detections(det, truth).withColumn("hit", F.lit(1).cast("long"))
     rows = det.join(hits, ["image", "cls", "box_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(0).cast("long")))
     slot = F.struct((-F.col("score")).alias("s"), (-F.floor(F.col("image") / 65_536)).alias("i"))
     order = [-F.col(c) for c in ("score", "image", "x0", "y0", "x1", "y1")] + [F.col("box_id")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,39 +107,49 @@ def resolve_style(df: DataFrame, style: str, styles: DataFrame, default: str) ->
     )
 
 
-def box_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], min_iou: float, cell: int) -> DataFrame:
-    """Pairs of boxes of the same group with IoU >= ``min_iou`` (columns ``a_*``, ``b_*``, ``iou``).
+def box_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], min_iou: float) -> DataFrame:
+    """Pairs of boxes of the same group with IoU >= ``min_iou`` > 0 (columns ``a_*``, ``b_*``, ``iou``).
 
-    Both sides are laid on a grid and meet only in shared cells; a pair is reported in the
-    cell of the upper left corner of its intersection, hence once.
+    The IoU bounds the ratio of the areas, so boxes meet only boxes of the same or a near size
+    level (the binary logarithm of the area), on the grid of the level of ``b``, whose cells are
+    about as large as its boxes: a box of any size covers a few cells.  A pair is reported in the
+    cell of the upper left corner of its intersection, hence once.  Boxes without area have no pair.
     """
     cols = ("box_id", "x0", "y0", "x1", "y1")
+    reach = math.ceil(-math.log2(min_iou) - 1e-9)
 
-    def on_grid(df: DataFrame, tag: str) -> DataFrame:
+    def area(t: str) -> Column:
+        return (F.col(f"{t}_x1") - F.col(f"{t}_x0")) * (F.col(f"{t}_y1") - F.col(f"{t}_y0"))
+
+    side = F.pow(F.lit(2.0), F.ceil(F.col("__level") / 2))
+
+    def on_grid(df: DataFrame, tag: str, levels: Column) -> DataFrame:
         named = df.select(*keys, *[F.col(x).alias(f"{tag}_{x}") for x in cols], *[
             F.col(x).alias(f"{tag}_{x}") for x in df.columns if x not in cols and x not in keys
         ])
+        named = named.where((area(tag) > 0) & (F.col(f"{tag}_x1") > F.col(f"{tag}_x0")))
 
         def cells(lo: str, hi: str) -> Column:
-            first = F.floor(F.col(f"{tag}_{lo}") / cell)
-            last = F.floor(F.col(f"{tag}_{hi}") / cell)
+            first = F.floor(F.col(f"{tag}_{lo}") / side)
+            last = F.floor(F.col(f"{tag}_{hi}") / side)
             return F.explode(F.sequence(first, last))
 
-        return named.withColumn("__cx", cells("x0", "x1")).withColumn("__cy", cells("y0", "y1"))
+        return named.withColumn("__level", levels).withColumn("__cx", cells("x0", "x1")).withColumn("__cy", cells("y0", "y1"))
 
-    both = on_grid(a, "a").join(on_grid(b, "b"), [*keys, "__cx", "__cy"])
+    def level(t: str) -> Column:
+        return F.floor(F.log2(area(t))).cast("int")
+
+    near = F.explode(F.sequence(level("a") - reach - 1, level("a") + reach + 1))
+    both = on_grid(a, "a", near).join(on_grid(b, "b", level("b")), [*keys, "__level", "__cx", "__cy"])
     left, top = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
     iw = F.greatest(F.lit(0), F.least("a_x1", "b_x1") - left)
     ih = F.greatest(F.lit(0), F.least("a_y1", "b_y1") - top)
     inter = iw * ih
 
-    def area(t: str) -> Column:
-        return (F.col(f"{t}_x1") - F.col(f"{t}_x0")) * (F.col(f"{t}_y1") - F.col(f"{t}_y0"))
-
     union = area("a") + area("b") - inter
-    here = (F.floor(left / cell) == F.col("__cx")) & (F.floor(top / cell) == F.col("__cy"))
+    here = (F.floor(left / side) == F.col("__cx")) & (F.floor(top / side) == F.col("__cy"))
     iou = F.when(union > 0, inter / union).otherwise(F.lit(0.0))
-    return both.where(here).withColumn("iou", iou).where(F.col("iou") >= min_iou).drop("__cx", "__cy")
+    return both.where(here).withColumn("iou", iou).where(F.col("iou") >= min_iou).drop("__level", "__cx", "__cy")
 
 
 def agreement(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions import capture as C
 from lumenframe.plans.ordered import number_slot, ranked
 
+# How far counters may drift, and by how much they may differ after that.
 REACH = 10
 TIGHT = 1
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions import color as K
 from lumenframe.plans.quantiles import exact_quantiles
 
+# Names of the style metrics, and below the words of advice.
 METRICS_601 = (
     "luminance", "contrast", "r_mean", "g_mean", "b_mean", "rg_ratio", "bg_ratio", "saturation",
     "luma_p98", "luma_p99", "pct_above_95", "pct_above_99",

@@ -95,9 +95,11 @@ def knn_score(
     return pos.join(neg, key).select(key, (F.col("score") - F.col("__neg")).alias("score"))
 
 
-def zero_shot_label(images: DataFrame, prompts: DataFrame, key: str, vector: str, temperature: float = 30.0, floor: float = 0.55) -> DataFrame:
+def zero_shot_label(images: DataFrame, prompts: DataFrame, key: str, vector: str, temperature: float = 30.0, floor: float = 0.55, most: int = 10_000) -> DataFrame:
     """Label whose prompts are closest on average, with a softmax confidence.
 
+    The labels travel to every task as one row; more than ``most`` of them are an error.
+
     The mean cosine to the prompts of a label is the product with the mean of their unit
     vectors, so each image meets one vector per label instead of every prompt.
     """
@@ -107,7 +109,8 @@ def zero_shot_label(images: DataFrame, prompts: DataFrame, key: str, vector: str
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda p: p["v"]).alias("mean")  # one entry per dimension
     )
     table = total_of(rows, F.array_sort(F.collect_list(F.struct("label", "mean"))).alias("__labels"))  # one entry per label
-    scored = with_total(images.select(key, V.unit(F.col(vector)).alias("__u")), table)
+    fits = F.when(F.size("__labels") <= most, F.col("__labels")).otherwise(F.raise_error("more labels than one row may hold"))
+    scored = with_total(images.select(key, V.unit(F.col(vector)).alias("__u")), table.select(fits.alias("__labels")))
     scored = scored.withColumn("__s", F.transform("__labels", lambda p: V.dot(F.col("__u"), p["mean"])))
     probs = scored.withColumn("__p", V.softmax(F.col("__s"), temperature))
     top = V.argmax(F.col("__p"))

@@ -260,7 +260,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     b = views.boxes(spark, sf)
-    got = J.box_pairs(b.where("is_truth"), b.where("NOT is_truth"), ["image", "cls"], 0.5, 16)
+    got = J.box_pairs(b.where("is_truth"), b.where("NOT is_truth"), ["image", "cls"], 0.5)
     return got.select("image", "cls", c("a_box_id").alias("truth_id"), c("b_box_id").alias("det_id"), "iou")
 
 

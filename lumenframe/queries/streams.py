@@ -132,7 +132,10 @@ def _(spark, sf):
     # first moves the watermark, the second lets every shoot see it
     path = scratch(spark, "frames")
     f = views.frames(spark, sf).select("shoot", "frame_id", "name", "t_us", "ev")
-    f.coalesce(1).write.parquet(f"{path}/a")
+    # frames arrive as files in time order, so state holds the lateness window and open brackets only
+    edges = [int(x) for x in f.approxQuantile("t_us", [0.25, 0.5, 0.75], 0.05)]
+    for lo, hi in zip([-(2**62), *edges], [*edges, 2**62]):
+        f.where((c("t_us") >= lo) & (c("t_us") < hi)).coalesce(1).write.parquet(f"{path}/a{lo + 2**62:020d}")
     for i, days in enumerate((30, 90)):
         at = F.lit(NOW + days * 86_400_000_000)
         end = f.select("shoot").distinct().select(

@@ -177,3 +177,24 @@ def test_balanced_sample_needs_enough_positives(skewed):
 def test_tombstones(spark):
     log = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("a", 3, "b"), ("c", 1, "x"), ("c", 2, None)], "slug string, seq int, label string")
     assert [tuple(r) for r in S.compact_journal(log, "slug", "seq", "label").collect()] == [("a", "b")]
+
+
+def test_boxes_of_any_size_meet_near_sizes_only(spark):
+    rng = random.Random(8)
+
+    def boxes(n, tag):
+        out = [(1, f"{tag}{k}", x := rng.randrange(-20, 200), y := rng.randrange(200), x + rng.choice([0, 1, 5, 40, 41, 300]), y + rng.choice([1, 4, 38, 40, 250])) for k in range(n)]
+        return out + [(1, f"{tag}big", 0, 0, 3000, 2000), (1, f"{tag}long", 5, 5, 2000, 6)]
+
+    def iou(p, q):
+        i = max(0, min(p[4], q[4]) - max(p[2], q[2])) * max(0, min(p[5], q[5]) - max(p[3], q[3]))
+        u = sum((r[4] - r[2]) * (r[5] - r[3]) for r in (p, q)) - i
+        return i / u if u else 0.0
+
+    a, b = boxes(150, "a"), boxes(150, "b")
+    schema = "image int, box_id string, x0 int, y0 int, x1 int, y1 int"
+    for least in (0.5, 0.2):
+        got = {(r.a_box_id, r.b_box_id) for r in J.box_pairs(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["image"], least).collect()}
+        assert got == {(p[1], q[1]) for p in a for q in b if iou(p, q) >= least}
+    small = spark.range(10_000).select(F.lit(1).alias("image"), F.col("id").cast("string").alias("box_id"), *[F.lit(v).alias(n) for n, v in (("x0", 7), ("y0", 7), ("x1", 9), ("y1", 9))])
+    assert J.box_pairs(spark.createDataFrame(a[-2:], schema), small, ["image"], 0.5).count() == 0
