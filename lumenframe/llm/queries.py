@@ -172,7 +172,23 @@ def op9_rules(spark, folder):
     return got.select("doc.doc_id", "stats.*", "removed_words", "base_failed", "kept")
 
 
-@query("op6_neardup")
+NEARDUP_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
+both_ AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT y, root FROM r JOIN both_ ON x = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id)::BIGINT AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
+@query("op6_neardup", NEARDUP_SQL)
 def op6_neardup(spark, folder):
     got = neardup.group(table(spark, folder, "documents"))
     return got.select("doc_id", "n_shingles", "component_id", "kept")
