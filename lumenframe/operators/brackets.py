@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions import capture as C
-from lumenframe.plans.ordered import number_slot, prior, running_sum, time_slot
+from lumenframe.plans.ordered import number_slot, numbered_runs, time_slot
 
 MID_LIMIT = 1.0
 SIDE_LIMIT = 1.0
@@ -53,25 +53,18 @@ def dedupe_frames(frames: DataFrame) -> DataFrame:
     )
 
 
-def bracket_clusters(frames: DataFrame, max_gap_s: float = MAX_GAP_SECONDS, slot_hours: int = 24) -> DataFrame:
+def bracket_clusters(frames: DataFrame, max_gap_s: float = MAX_GAP_SECONDS, slot_hours: int = 1) -> DataFrame:
     """Number the brackets of each shoot along time.
 
     A new bracket opens when the EV falls below the previous frame's or the pause is too
     long.  Shoots are walked in time slots, so one endless shoot is still many tasks.
     """
-    rows = frames.withColumn("__day", time_slot("t_us", slot_hours))
-    order = ["t_us", "name"]
-    prev = prior(
-        rows, ["shoot"], F.col("__day"), order, {"__prev": ("last", F.struct("ev", "t_us"))}
-    )
-    opens = (
-        F.col("__prev").isNull()
-        | (F.col("ev") < F.col("__prev.ev"))
-        | (F.col("t_us") - F.col("__prev.t_us") > F.lit(int(max_gap_s * 1_000_000)))
-    )
-    flagged = prev.withColumn("__open", opens.cast("long")).drop("__prev")
-    out = running_sum(flagged, ["shoot"], F.col("__day"), order, F.col("__open"), "cluster")
-    return out.drop("__day", "__open")
+    gap = F.lit(int(max_gap_s * 1_000_000))
+
+    def opens(row: Column, before: Column) -> Column:
+        return (row["ev"] < before["ev"]) | (row["t_us"] - before["t_us"] > gap)
+
+    return numbered_runs(frames, ["shoot"], time_slot("t_us", slot_hours), ["t_us", "name"], ["ev", "t_us"], opens, "cluster")
 
 
 def _pick(cond: Column, *order: Column) -> Column:

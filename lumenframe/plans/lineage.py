@@ -38,3 +38,10 @@ def cut(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for written intermediate tables."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder as a table and read back."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ the slots before it contribute comes from a summary with one row per slot.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,6 +86,42 @@ def prior(
     return rows.join(carried, parts).select(*cols)
 
 
+def numbered_runs(
+    df: DataFrame,
+    keys: Sequence[str],
+    slot: Column,
+    order: Sequence[Column | str],
+    fields: Sequence[str],
+    opens: Callable[[Column, Column], Column],
+    out: str,
+) -> DataFrame:
+    """Number the runs of each order from 1; ``opens(row, row before)`` tells where a run begins.
+
+    Both arguments are structs of ``fields``; the first row of an order always begins a run.  What
+    the head of a slot compares with, and how many runs began before, come from one summary with
+    a row per slot, so the order is walked once.
+    """
+    keys = list(keys)
+    parts = [*keys, _SLOT]
+    by = _order(order)
+    inside = Window.partitionBy(*parts).orderBy(*by)
+    rows = df.withColumn(_SLOT, slot).withColumn("__here", F.struct(*fields))
+    rows = rows.withColumn("__before", F.lag("__here").over(inside))
+    flag = F.when(F.col("__before").isNotNull(), opens(F.col("__here"), F.col("__before")))
+    rows = rows.withColumn("__open", F.coalesce(flag, F.lit(False)).cast("long"))
+    rows = rows.withColumn("__count", F.sum("__open").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    heads = rows.groupBy(*parts).agg(
+        F.min_by("__here", F.struct(*by)).alias("__first"), F.max_by("__here", F.struct(*by)).alias("__last"), F.sum("__open").alias("__inner")
+    )
+    across = Window.partitionBy(*keys).orderBy(_SLOT)
+    heads = heads.withColumn("__prior", F.lag("__last").over(across))
+    begins = F.when(F.col("__prior").isNull(), F.lit(True)).otherwise(F.coalesce(opens(F.col("__first"), F.col("__prior")), F.lit(False)))
+    heads = heads.withColumn("__head", begins.cast("long"))
+    earlier = F.sum(F.col("__inner") + F.col("__head")).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    heads = heads.select(*parts, (F.coalesce(earlier, F.lit(0)) + F.col("__head")).alias("__start"))
+    return rows.join(heads, parts).select(*df.columns, (F.col("__start") + F.col("__count")).alias(out))
+
+
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
@@ -159,7 +195,7 @@ def digest_slot(col: Column | str, digits: int = 3) -> Column:
     return F.substring(col, 1, digits)
 
 
-def time_slot(t_us: Column | str, hours: int = 24) -> Column:
+def time_slot(t_us: Column | str, hours: int = 1) -> Column:
     c = F.col(t_us) if isinstance(t_us, str) else t_us
     return F.floor(c / F.lit(hours * 3_600_000_000)).cast("long")
 

@@ -12,7 +12,8 @@ from lumenframe.operators import pairing as P
 from lumenframe.operators import sampling as S
 from lumenframe.operators import similarity as Y
 from lumenframe.plans.matching import greedy_match
-from lumenframe.plans.ordered import number_slot, prior, range_sums, ranked
+from lumenframe.operators.brackets import bracket_clusters
+from lumenframe.plans.ordered import number_slot, numbered_runs, prior, range_sums, ranked
 from lumenframe.plans.quantiles import exact_quantiles
 
 
@@ -53,10 +54,11 @@ def test_range_sums_equal_a_pairwise_sum(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("small", [50_000, 20, 1])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_exact_quantiles(skewed, keys):
+def test_exact_quantiles(skewed, keys, small):
     rows = skewed.withColumn("d", F.col("v") * F.col("v") / 7.0 - 5000)
-    got = exact_quantiles(rows, keys, "d", {"a": 0.0, "m": 0.5, "p": 0.95, "z": 1.0}, bins=8).collect()
+    got = exact_quantiles(rows, keys, "d", {"a": 0.0, "m": 0.5, "p": 0.95, "z": 1.0}, bins=8, small=small).collect()
     data = rows.toPandas()
     for r in got:
         part = data if not keys else data[data.k == r.k]
@@ -198,3 +200,25 @@ def test_boxes_of_any_size_meet_near_sizes_only(spark):
         assert got == {(p[1], q[1]) for p in a for q in b if iou(p, q) >= least}
     small = spark.range(10_000).select(F.lit(1).alias("image"), F.col("id").cast("string").alias("box_id"), *[F.lit(v).alias(n) for n, v in (("x0", 7), ("y0", 7), ("x1", 9), ("y1", 9))])
     assert J.box_pairs(spark.createDataFrame(a[-2:], schema), small, ["image"], 0.5).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 9, 10_000])
+def test_numbered_runs_equal_a_walk(skewed, width):
+    got = numbered_runs(skewed, ["k"], number_slot("i", width), ["i"], ["v"], lambda row, before: row["v"] < before["v"], "run").collect()
+    want, last = {}, {}
+    for r in sorted(got, key=lambda r: (r.k, r.i)):
+        n, v = last.get(r.k, (0, None))
+        last[r.k] = (n + (v is None or r.v < v), r.v)
+        want[r.i] = last[r.k][0]
+    assert {r.i: r.run for r in got} == want
+
+
+def test_one_shoot_of_one_day_is_several_tasks(spark):
+    frames = spark.range(5000).select(
+        F.lit(1).alias("shoot"), F.col("id").alias("frame_id"), F.format_string("f%05d", "id").alias("name"),
+        (F.col("id") * 17_000_000).alias("t_us"), (F.col("id") % 3 - 1).cast("double").alias("ev"),
+    )
+    got = bracket_clusters(frames)
+    assert got.select("cluster").distinct().count() == 1667
+    assert got.groupBy((F.col("t_us") / 3_600_000_000).cast("int")).count().count() == 24
+    assert got._jdf.queryExecution().executedPlan().toString().count("Window") <= 8
