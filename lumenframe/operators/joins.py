@@ -137,9 +137,9 @@ def box_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], min_iou: float) -
         return named.withColumn("__level", levels).withColumn("__cx", cells("x0", "x1")).withColumn("__cy", cells("y0", "y1"))
 
     def level(t: str) -> Column:
-        return F.floor(F.log2(area(t))).cast("int")
+        return F.floor(F.log2(area(t)) + 1e-9).cast("int")
 
-    near = F.explode(F.sequence(level("a") - reach - 1, level("a") + reach + 1))
+    near = F.explode(F.sequence(level("a") - reach, level("a") + reach))
     both = on_grid(a, "a", near).join(on_grid(b, "b", level("b")), [*keys, "__level", "__cx", "__cy"])
     left, top = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
     iw = F.greatest(F.lit(0), F.least("a_x1", "b_x1") - left)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.plans.lineage import cut
+from lumenframe.plans.lineage import stored
 
 
 def greedy_match(cands: DataFrame, keys: Sequence[str], rank: str, proposer: str, target: str) -> DataFrame:
@@ -26,7 +26,7 @@ def greedy_match(cands: DataFrame, keys: Sequence[str], rank: str, proposer: str
         held = asks.groupBy(*keys, target).agg(F.min(F.struct(rank, proposer)).alias("__best"))
         gone = F.coalesce(F.struct(rank, proposer) > F.col("__best"), F.lit(False))
         marked = alive.join(held, [*keys, target], "left").withColumn("__gone", gone)
-        marked = cut(marked.select(*keys, rank, proposer, target, "__gone"))
+        marked = stored(marked.select(*keys, rank, proposer, target, "__gone"), "matching")
         moving = marked.where("__gone").select(*keys).distinct()
         settled.append(marked.join(moving, keys, "left_anti").drop("__gone"))
         if moving.isEmpty():
