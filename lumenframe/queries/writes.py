@@ -19,7 +19,7 @@ def _base(spark, sf):
 
 @query(
     "x1_guarded_update",
-    """, p AS (SELECT job_id, stem, CASE part_no % 6 WHEN 0 THEN 'interior' WHEN 1 THEN 'exterior' WHEN 2 THEN 'front' WHEN 3 THEN 'ambiguous' END AS verdict, 'room-' || (supp_no % 5) AS room FROM reviews WHERE part_no % 3 <> 2),
+    """, p AS (SELECT DISTINCT job_id, stem, CASE part_no % 6 WHEN 0 THEN 'interior' WHEN 1 THEN 'exterior' WHEN 2 THEN 'front' WHEN 3 THEN 'ambiguous' END AS verdict, 'room-' || (supp_no % 5) AS room FROM reviews WHERE part_no % 3 <> 2),
       h AS (SELECT r.*, p.verdict, p.room, p.verdict IS NOT NULL AND verified_by IS NULL AS hit FROM reviews r LEFT JOIN p USING (job_id, stem))
       SELECT job_id, stem, CASE WHEN hit THEN verdict = 'interior' ELSE interior_worker END AS interior_worker, CASE WHEN hit AND verdict = 'interior' THEN room ELSE room_worker END AS room_worker,
         CASE WHEN hit THEN CASE WHEN verdict IN ('front', 'ambiguous') THEN verdict END ELSE room_corrected END AS subtype, hit AS updated FROM h""",
