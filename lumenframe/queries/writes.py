@@ -75,7 +75,7 @@ def _(spark, sf):
 @query(
     "x3_partial_upsert",
     """, b AS (SELECT job_id, stem, room_worker AS room, output_path AS path FROM reviews WHERE part_no % 4 <> 3),
-      p AS (SELECT job_id, stem, part_no % 2 = 0 AS has_room, CASE WHEN supp_no % 3 = 0 THEN NULL ELSE 'attic' END AS room, supp_no % 2 = 0 AS has_path, 'new/' || part_no AS path FROM reviews WHERE part_no % 3 = 0)
+      p AS (SELECT DISTINCT job_id, stem, part_no % 2 = 0 AS has_room, CASE WHEN supp_no % 3 = 0 THEN NULL ELSE 'attic' END AS room, supp_no % 2 = 0 AS has_path, 'new/' || part_no AS path FROM reviews WHERE part_no % 3 = 0)
       SELECT coalesce(b.job_id, p.job_id) AS job_id, coalesce(b.stem, p.stem) AS stem, CASE WHEN has_room THEN p.room ELSE b.room END AS room, CASE WHEN has_path THEN p.path ELSE b.path END AS path
       FROM b FULL JOIN p ON b.job_id = p.job_id AND b.stem = p.stem""",
     "reviews",
