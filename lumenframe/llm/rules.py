@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency, in DataFrame operations only.
 
 Lines are normalised and hashed; a line above the limits of its host is boilerplate there and is
-taken out; a document that mostly consists of such lines is depleted and rejected.  Documents count
-as different for a line if they differ around it, so copies of one document count once.
+taken out; a document that mostly consists of such lines is depleted and rejected.  Copies of one
+document count once.
 """
 
 from __future__ import annotations
@@ -80,17 +80,14 @@ def line_key(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, host: str, text: str) -> DataFrame:
-    """One row per line with a word: ``host``, ``copy`` (hash of the text), ``line``, its neighbours."""
+    """One row per line with a word: ``host``, ``copy`` (hash of the text), ``line``, its words and place."""
     keyed = F.transform(worded_lines(F.col(text)), lambda x: F.struct(line_key(x).alias("k"), F.size(words(x)).alias("n")))
 
     def placed(lines: Column) -> Column:
         return F.transform(
             lines,
-            lambda x, i: F.struct(
-                x["k"].alias("line"), x["n"].alias("n"), F.get(lines, i - 1)["k"].alias("prev"),
-                F.get(lines, i + 1)["k"].alias("next"), F.size(lines).alias("shape"), i.alias("at"),
-            ),
-        )
+            lambda x, i: F.struct(x["k"].alias("line"), x["n"].alias("n"), F.size(lines).alias("shape"), i.alias("at")),
+        )
 
     return docs.select(host_key(F.col(host)).alias("host"), copy_key(F.col(text)).alias("copy"), F.inline(let(keyed, placed)))
 
@@ -107,13 +104,13 @@ def copy_key(text: Column) -> Column:
 def boilerplate(lines: DataFrame, most: int = 20, shapes: int = 8) -> DataFrame:
     """``host``, ``line`` of lines above the limits.
 
-    A line is above them if it stands in more than ``most`` documents of the host that differ in the
-    line before or after it, and these have at least ``shapes`` different numbers of lines.  Copies
-    of a document count once by the first limit; near copies, which vary the neighbours but hardly
-    the number of lines, are left to near-duplicate removal by the second.
+    A line is above them if it stands in more than ``most`` different texts of the host, and these
+    have at least ``shapes`` different numbers of lines.  Copies of a document count once by the
+    first limit; near copies, which hardly vary the number of lines, are left to near-duplicate
+    removal by the second.
     """
-    around = lines.groupBy("host", "line", "prev", "next").agg(F.min("shape").alias("shape"))
-    per = around.groupBy("host", "line").agg(
+    texts = lines.groupBy("host", "line", "copy").agg(F.min("shape").alias("shape"))
+    per = texts.groupBy("host", "line").agg(
         F.count(F.lit(1)).alias("documents"), F.size(F.collect_set(F.least("shape", F.lit(1000)))).alias("shapes")
     )
     return per.where((F.col("documents") > most) & (F.col("shapes") >= shapes)).select("host", "line")

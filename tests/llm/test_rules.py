@@ -77,5 +77,24 @@ def test_depleted_documents_go(make_docs):
     assert not any(foot in r.t for r in clean)
 
 
+def footed(n, own, foot, seed=10):
+    """``n`` differing documents of one host: a title, ``own(i)`` lines, the lines of ``foot``."""
+    rng = random.Random(seed)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))
+    return [(i, "\n".join([line() for _ in range(1 + own(i))] + foot), "h") for i in range(n)]
+
+
+def test_every_line_of_a_footer_goes(make_docs):
+    foot = [" ".join(f"f{k}x{j}" for j in range(30)) for k in range(4)]
+    rows = footed(100, lambda i: i % 12 + 4, foot) + [(999, "a b c\n" + "\n".join(foot), "h")]
+    got = {r.doc.doc_id: r for r in rules.judge(make_docs(rows), ["doc_id"]).collect()}
+    assert {r.removed_words for r in got.values()} == {120}
+    assert not got[999].kept
+    texts = rules.judge(make_docs(rows), ["text"]).select(rules.without_lines(F.col("doc.text"), F.col("removed_lines")).alias("t")).collect()
+    assert not any(x in r.t for r in texts for x in foot)
+    # copies of one document still count once
+    assert all(r.removed_words == 0 for r in rules.judge(make_docs(rows[:1] * 100), ["doc_id"]).collect())
+
+
 def test_empty_table(make_docs):
     assert rules.judge(make_docs([]), ["doc_id"]).collect() == []
