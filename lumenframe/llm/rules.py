@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency, in DataFrame operations only.
 
 Lines are normalised and hashed; a line above the limits of its host is boilerplate there and is
-taken out; a document that mostly consists of such lines is depleted and rejected.  Copies of one
-document count once.
+taken out; a document that mostly consists of such lines is depleted and rejected.  Copies and near
+copies of one document count once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import SPACES, WORD, words
+from lumenframe.llm.common import SPACES, WORD, stash, words
 from lumenframe.llm.secrets import let
 
 
@@ -86,7 +86,7 @@ def _lines(docs: DataFrame, host: str, text: str) -> DataFrame:
     def placed(lines: Column) -> Column:
         return F.transform(
             lines,
-            lambda x, i: F.struct(x["k"].alias("line"), x["n"].alias("n"), F.size(lines).alias("shape"), i.alias("at")),
+            lambda x, i: F.struct(x["k"].alias("line"), x["n"].alias("n"), i.alias("at")),
         )
 
     return docs.select(host_key(F.col(host)).alias("host"), copy_key(F.col(text)).alias("copy"), F.inline(let(keyed, placed)))
@@ -101,28 +101,81 @@ def copy_key(text: Column) -> Column:
     return F.unhex(F.md5(_filled(text)))
 
 
-def boilerplate(lines: DataFrame, most: int = 20, shapes: int = 8) -> DataFrame:
-    """``host``, ``line`` of lines above the limits.
+def sketch(text: Column) -> Column:
+    """The smallest 64-bit hash of the text's five-word shingles in each of 64 equal ranges of hashes.
 
-    A line is above them if it stands in more than ``most`` different texts of the host, and these
-    have at least ``shapes`` different numbers of lines.  Copies of a document count once by the
-    first limit; near copies, which hardly vary the number of lines, are left to near-duplicate
-    removal by the second.
+    A text of fewer than five words is one shingle, one without words has none.
     """
-    texts = lines.groupBy("host", "line", "copy").agg(F.min("shape").alias("shape"))
-    per = texts.groupBy("host", "line").agg(
-        F.count(F.lit(1)).alias("documents"), F.size(F.collect_set(F.least("shape", F.lit(1000)))).alias("shapes")
+
+    def shingles(w: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(w) - 5)
+        five = F.transform(at, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(5)]))
+        return F.when(F.size(w) >= 5, five).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.expr("CAST(array() AS array<bigint>)"))
+
+    def smallest(h: Column) -> Column:
+        return F.filter(h, lambda x, i: (i == 0) | (_range(x) != _range(F.get(h, i - 1))))
+
+    return let(words(F.lower(_filled(text))), lambda w: let(F.sort_array(F.array_distinct(shingles(w))), smallest))
+
+
+def _range(hash_: Column) -> Column:
+    """The range of a hash: its upper six bits."""
+    return F.shiftrightunsigned(hash_, 58)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Estimated Jaccard index of two sketches: equal hashes by the ranges that either fills."""
+    filled = F.size(F.array_union(F.transform(a, _range), F.transform(b, _range)))
+    return F.size(F.array_intersect(a, b)) / filled
+
+
+def classes(texts: DataFrame, text: str, percent: int = 80) -> DataFrame:
+    """``host``, ``copy``, ``cls``: near copies of a text on its host have one class.
+
+    Sketches that agree in four neighbouring ranges meet at the smallest ``copy`` of their bucket; a
+    text takes the smallest of the copies it meets whose likeness is at least ``percent``.  The
+    texts of a near-copy group meet the same few copies, so their classes stay few however many
+    they are, and no bucket is expanded into pairs.
+    """
+    signed = stash(texts.select("host", "copy", sketch(F.col(text)).alias("sketch")), "sketches")
+    hashes = F.col("sketch")
+    bands = F.transform(
+        F.array_distinct(F.transform(hashes, lambda x: F.shiftrightunsigned(x, 60))),
+        lambda k: F.xxhash64(k, F.filter(hashes, lambda x: F.shiftrightunsigned(x, 60) == k)),
     )
-    return per.where((F.col("documents") > most) & (F.col("shapes") >= shapes)).select("host", "line")
+    rows = signed.select("host", "copy", F.explode(bands).alias("band"))
+    first = rows.groupBy("host", "band").agg(F.min("copy").alias("first"), F.count(F.lit(1)).alias("met")).where("met > 1")
+    met = rows.join(first, ["host", "band"]).where("first < copy").select("host", "copy", "first").distinct()
+    met = met.join(signed, ["host", "copy"]).withColumnRenamed("sketch", "mine")
+    met = met.join(signed.withColumnRenamed("copy", "first"), ["host", "first"])
+    near = met.where(100 * likeness(F.col("mine"), F.col("sketch")) >= percent)
+    near = near.groupBy("host", "copy").agg(F.min("first").alias("first"))
+    return signed.select("host", "copy").join(near, ["host", "copy"], "left").select("host", "copy", F.coalesce("first", "copy").alias("cls"))
+
 
+def _often(lines: DataFrame, one: str, most: int) -> DataFrame:
+    """``host``, ``line`` of lines that stand with more than ``most`` different ``one``."""
+    per = lines.groupBy("host", "line", one).agg(F.lit(1).alias("x")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    return per.where(F.col("n") > most).select("host", "line")
 
-def removals(docs: DataFrame, host: str = "source", text: str = "text", most: int = 20, shapes: int = 8) -> DataFrame:
-    """``host``, ``copy``, ``removed_words``, ``removed_lines``: what each text loses on its host."""
+
+def removals(docs: DataFrame, host: str = "source", text: str = "text", most: int = 20) -> DataFrame:
+    """``host``, ``copy``, ``removed_words``, ``removed_lines``: what each text loses on its host.
+
+    A line is boilerplate if it stands in more than ``most`` different documents of the host: texts
+    that are no near copies of each other.  Only texts with a line in more than ``most`` texts are
+    compared.
+    """
     lines = _lines(docs, host, text)
-    hit = lines.select("host", "copy", "at", "line", "n").join(boilerplate(lines, most, shapes), ["host", "line"])
+    hit = lines.join(_often(lines, "copy", most), ["host", "line"])
     # copies of a text bring the same lines: each place of a text counts once
-    per = hit.groupBy("host", "copy", "at").agg(F.max("n").alias("n"), F.max("line").alias("line"))
-    return per.groupBy("host", "copy").agg(F.sum("n").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
+    hit = stash(hit.groupBy("host", "copy", "at").agg(F.max("n").alias("n"), F.max("line").alias("line")), "often")
+    texts = docs.select(host_key(F.col(host)).alias("host"), copy_key(F.col(text)).alias("copy"), F.col(text).alias("__text"))
+    texts = texts.join(hit.select("host", "copy").distinct(), ["host", "copy"], "left_semi")
+    texts = texts.groupBy("host", "copy").agg(F.first("__text").alias("__text"))
+    found = hit.select("host", "copy", "line").distinct().join(classes(texts, "__text"), ["host", "copy"])
+    hit = hit.join(_often(found, "cls", most), ["host", "line"])
+    return hit.groupBy("host", "copy").agg(F.sum("n").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
 
 
 def without_lines(text: Column, removed: Column) -> Column:
@@ -136,7 +189,6 @@ def judge(
     host: str = "source",
     text: str = "text",
     most: int = 20,
-    shapes: int = 8,
     depleted: float = 0.8,
 ) -> DataFrame:
     """One row per document: ``doc`` (a struct of ``columns``), ``stats``, ``base_failed``,
@@ -146,7 +198,7 @@ def judge(
     in boilerplate lines.  NULL and empty texts have no words and fail; a NULL host is a host of its
     own; repeated rows get equal verdicts; an empty table gives no row.
     """
-    removed = removals(docs, host, text, most, shapes)
+    removed = removals(docs, host, text, most)
     rows = docs.select(
         F.struct(*columns).alias("doc"),
         host_key(F.col(host)).alias("host"),

@@ -96,5 +96,17 @@ def test_every_line_of_a_footer_goes(make_docs):
     assert all(r.removed_words == 0 for r in rules.judge(make_docs(rows[:1] * 100), ["doc_id"]).collect())
 
 
+def test_footers_go_whatever_the_lengths_in_lines(make_docs):
+    foot = [" ".join(f"f{j}" for j in range(70))]
+    long_ = [(i, "\n".join([f"own{i} {j}" for j in range(1000 + i)] + foot), "long") for i in range(25)]
+    # always three lines; lengths of 1000 lines and more; near copies of one document
+    rows = footed(60, lambda i: 1, foot) + [(999, "a b c\n" + foot[0], "h")]
+    near = [(5000 + k, "title\n" + " ".join(f"v{j}" for j in range(150)) + "".join("\nx" for _ in range(k % 12)) + f"\nend {k}", "near") for k in range(300)]
+    got = {r.doc.doc_id: r for r in rules.judge(make_docs(rows + near), ["doc_id"]).collect()}
+    assert {got[i].removed_words for i in (*range(60), 999)} == {70} and not got[999].kept
+    assert all(got[r[0]].removed_words == 0 and got[r[0]].kept for r in near)
+    assert {r.removed_words for r in rules.judge(make_docs(long_), ["doc_id"]).collect()} == {70}
+
+
 def test_empty_table(make_docs):
     assert rules.judge(make_docs([]), ["doc_id"]).collect() == []
