@@ -36,9 +36,19 @@ BASE = (
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", 1, r"[0-9a-f]{24,}"),
 )
+#: A private key: from its BEGIN mark to the END mark of the same label if that is the next mark, else
+#: over the base64 lines that follow (after up to eight header lines), else the mark alone. Possessive and
+#: bounded, so a text costs its length; line ends may be written as ``\\n``.
+_BREAK = r"(?:[\x20\t\r]*+(?:\n|\\[rn]))++[\x20\t]*+"
+_LINE_ENDS = r"(?=[\x20\t\r]*+(?:\n|\\[rn]|\z))"
+_KEY = (
+    r"-----BEGIN ((?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY)-----(?:(?:[^-]|-(?!----))*+-----END \1-----"
+    rf"|(?:{_BREAK}[A-Za-z0-9-]{{1,40}}:[^\n\\]{{0,200}}+){{0,8}}+"
+    rf"(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}+{_LINE_ENDS})++(?:{_BREAK}[A-Za-z0-9+/=]{{1,15}}+{_LINE_ENDS})?+)?+"
+)
 #: Kinds beside the base ones.
 MORE = (
-    Rule("private_key", 1, r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----"),
+    Rule("private_key", 2, _KEY),
     Rule("forge_token", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )
