@@ -128,13 +128,22 @@ def best_path(scores: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarra
     """The labels of the best path through ``scores`` less ``penalty`` per switch, as maximal runs, and
     where they start.
 
-    Neighbouring words whose best label is the same are taken as one step first: a switch inside such
-    a run never beats one at its edge.  Ties go to the smaller label.
+    Neighbouring words whose best label is the same are taken as one step first where no switch inside
+    the run can pay.  Two switches inside, or one from or to the best label, never beat the best label
+    throughout; one between two others saves at most a penalty by it and gives up the run's sum of gaps
+    between best and second best.  Runs whose gaps add up to less go word by word.  Ties go to the smaller
+    label.
     """
     top = scores.argmax(axis=1)
     first = np.flatnonzero(np.diff(top, prepend=-1))
     if len(first) == 1:
         return top[:1], first
+    if scores.shape[1] > 2:
+        two = np.partition(scores, -2, axis=1)[:, -2:]
+        gaps = np.add.reduceat(two[:, 1] - two[:, 0], first)
+        alone = np.repeat(gaps < penalty, np.diff(first, append=len(top)))
+        alone[first] = True
+        first = np.flatnonzero(alone)
     steps = np.add.reduceat(scores, first, axis=0)
     n, k = steps.shape
     came = np.empty((n, k), np.int32)

@@ -19,6 +19,22 @@ def test_best_path_equals_all_paths():
         assert value(path) == pytest.approx(max(map(value, itertools.product(range(k), repeat=n))))
 
 
+def test_a_switch_inside_a_run_of_one_best_label():
+    scores = np.array([(0, -20, -20), (-1, -11, 0), (-11, -1, 0), (-20, 0, -20)], float)
+    labels, starts = language.best_path(scores, 8.0)
+    assert (labels.tolist(), starts.tolist()) == ([0, 1], [0, 2])
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n, k, penalty = 6, 4, float(rng.uniform(2, 9))
+        # a third label is best in the middle, related ones close behind
+        scores = rng.uniform(-12, 0, (n, k))
+        scores[1:-1, 2] = 0
+        value = lambda p: sum(scores[i, x] for i, x in enumerate(p)) - penalty * sum(a != b for a, b in zip(p, p[1:]))
+        labels, starts = language.best_path(scores, penalty)
+        path = np.repeat(labels, np.diff(np.append(starts, n)))
+        assert value(path) == pytest.approx(max(map(value, itertools.product(range(k), repeat=n))))
+
+
 def test_held_out_accuracy_and_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify_held_out(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
