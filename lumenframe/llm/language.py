@@ -167,15 +167,18 @@ def learn(
 ) -> Languages:
     """Letter-triple frequencies per language from the rows of ``docs`` with a language.
 
-    From more than ``most`` rows a share is taken by a hash of the key, about ``most`` rows of whole
-    texts.  A language has the scripts of at least a hundredth of its words; triples fall in 65,536
+    Of a language with more than ``most`` rows a share is taken by a hash of the key, about ``most`` rows
+    of whole texts; of others all.  A language has the scripts of at least a hundredth of its words; triples fall in 65,536
     cells, so the model has at most that many numbers per language.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    n = known.count()
-    if n > most:
-        known = known.where(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < int(1_000_003 * most / n))
-    rows = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    rows = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
+    counts = rows.groupBy("lang").count().collect()  # a row per language, as many as the model has columns
+    large = {r["lang"]: int(1_000_003 * most / r["count"]) for r in counts if r["count"] > most}
+    if large:
+        share = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])[F.col("lang")]
+        rows = rows.where(F.pmod("h", F.lit(1_000_003)) < F.coalesce(share, F.lit(1_000_003)))
+    rows = rows.select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

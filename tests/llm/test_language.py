@@ -58,6 +58,14 @@ def test_scripts_narrow_the_candidates(spark, make_docs):
     assert model.label("漢字")[1] in model.names and model.label("12 -- !")[1:] == ("und", 0.0)
 
 
+def test_a_rare_language_keeps_its_rows(make_docs):
+    rows = [(i, f"abc abd{i}", "s", "en") for i in range(3000)] + [(5000 + i, "жук жаба", "s", "ru") for i in range(3)]
+    model = language.learn(make_docs(rows), most=20)
+    whole = language.learn(make_docs(rows[3000:]))
+    assert model.names == ("en", "ru") and np.array_equal(model.logs[:, 1], whole.logs[:, 0])
+    assert model.label("жук жаба")[1] == "ru"
+
+
 def test_nulls_long_texts_and_empty_tables(make_docs):
     docs = make_docs([(None, None, "s", "a"), (1, "", "s", None), (2, "ab " * 500_000, "s", "a"), (3, "y" * 900_000, "s", "b"), (3, "İ ab", "s", "a")])
     docs = docs.withColumn("spans", F.lit(0)).withColumn("score", F.lit("x"))
