@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenframe.llm.common import stash
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -167,19 +169,33 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``key`` and ``spans`` of every row; the scan runs once per blob and is joined back to all paths."""
-    blobs, _ = scan_versions(docs.select(text), text, None, rules)
+def record(versions: DataFrame, text: str = "text", ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """What a scan of ``versions`` under ``rules`` adds to ``ledger``, written as a table below the shared folder."""
+    _, added = scan_versions(versions, text, ledger, rules)
+    return stash(added, "ledger")
+
+
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, ledger: DataFrame | None = None) -> DataFrame:
+    """``key`` and ``spans`` of every row; what ``ledger`` holds is not scanned again, the rest once per
+    blob, and is joined back to all paths."""
+    blobs, _ = scan_versions(docs.select(text), text, ledger, rules)
     return docs.select(key, address(F.col(text)).alias("blob")).join(blobs, "blob").select(key, "spans")
 
 
-def redact(docs: DataFrame, columns: Sequence[str], text: str = "text", mask: str = "[SECRET]", rules: Sequence[Rule] = RULES) -> DataFrame:
+def redact(
+    docs: DataFrame,
+    columns: Sequence[str],
+    text: str = "text",
+    mask: str = "[SECRET]",
+    rules: Sequence[Rule] = RULES,
+    ledger: DataFrame | None = None,
+) -> DataFrame:
     """``columns`` of every row, each maximal stretch of overlapping spans in ``text`` replaced by ``mask``.
 
-    NULL text stays NULL.  The parts between are cut by byte positions, so a long text with many
+    NULL text stays NULL.  What ``ledger`` holds is not scanned again.  The parts between are cut by byte positions, so a long text with many
     spans costs its length.
     """
-    blobs, _ = scan_versions(docs.select(text), text, None, rules)
+    blobs, _ = scan_versions(docs.select(text), text, ledger, rules)
     blobs = blobs.where(F.size("spans") > 0)
 
     def kept(spans: Column) -> Column:

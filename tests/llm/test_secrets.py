@@ -84,6 +84,21 @@ def test_only_unseen_pairs_are_scanned(spark, docs):
     assert {r.rule for r in secrets.scan_versions(first, ledger=ledger, rules=newer)[1].collect()} == {"hex@2"}
 
 
+def test_queries_take_spans_from_a_ledger(spark, docs, monkeypatch):
+    import corpus_pipeline
+    from lumenframe.llm import queries
+
+    seen, scan = [], secrets.scan_versions
+    monkeypatch.setattr(secrets, "scan_versions", lambda *a, **b: seen.append(scan(*a, **b)) or seen[-1])
+    monkeypatch.setattr(queries, "table", lambda *a: docs)
+    got = {r.doc_id: r.spans for r in queries.op8_secrets(spark, "").collect()}
+    masked = {r.doc_id: r.text for r in corpus_pipeline.secrets_stage(spark, docs, "").collect()}
+    base = {r.name for r in secrets.BASE}
+    assert [{r.rule for r in added.select("rule").distinct().collect()} for _, added in seen] == [base, {r.name for r in secrets.MORE}] * 2
+    assert got == {r.doc_id: r.s for r in secrets.find(docs).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()}
+    assert masked == {r.doc_id: r.text for r in secrets.redact(docs, ["doc_id", "text"]).collect()}
+
+
 def test_empty_table(make_docs):
     assert secrets.find(make_docs([])).collect() == []
     assert secrets.redact(make_docs([]), ["doc_id", "text"]).collect() == []
