@@ -151,12 +151,9 @@ g AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS a, unnest(w[2:
 h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) > 1 AS twice FROM g WHERE c IS NOT NULL),
 v AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM h WHERE twice),
 r AS (SELECT doc_id, count(*) AS n FROM v GROUP BY doc_id),
-l0 AS (
-  SELECT doc_id, host, t, unnest(lines) AS line, generate_subscripts(lines, 1) AS i, len(lines) AS shape FROM s JOIN d USING (doc_id)),
-l1 AS (SELECT *, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l0),
-l2 AS (SELECT *, lag(k) OVER w AS p, lead(k) OVER w AS q FROM l1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT host, k, p, q, min(shape) AS shape FROM l2 GROUP BY host, k, p, q),
-b AS (SELECT host, k FROM c GROUP BY host, k HAVING count(*) > 20 AND count(DISTINCT least(shape, 1000)) >= 8),
+l0 AS (SELECT doc_id, host, t, unnest(lines) AS line FROM s JOIN d USING (doc_id)),
+l2 AS (SELECT *, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l0),
+b AS (SELECT host, k FROM l2 GROUP BY host, k HAVING count(DISTINCT t) > 20),
 x AS (SELECT doc_id, sum(n)::BIGINT AS lost FROM l2 JOIN b USING (host, k) GROUP BY doc_id),
 o AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,

@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency, in DataFrame operations only.
 
-Lines are normalised and hashed; a line above the limits of its host is boilerplate there and is
-taken out; a document that mostly consists of such lines is depleted and rejected.  Copies and near
-copies of one document count once.
+Each different text of a host is measured once: its statistics, and the hash and words of its
+normalised lines.  A line that stands in too many different texts of its host is boilerplate there and
+is taken out; a document that mostly consists of such lines is depleted and rejected.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import SPACES, WORD, stash, words
+from lumenframe.llm.common import WORD, stash, words
 from lumenframe.llm.secrets import let
 
 
@@ -28,7 +28,8 @@ def worded_lines(text: Column) -> Column:
 def repeated_words(tokens: Column) -> Column:
     """How many words stand in windows of three words that occur twice or more, the first included.
 
-    Windows are compared by 64-bit hashes of their words; only a text with a repeated hash is sorted.
+    Windows are compared by 64-bit hashes of their words.  Few repeated hashes are looked up window by
+    window; where there are many, the windows are sorted.
     """
 
     def windows(w: Column) -> Column:
@@ -37,36 +38,64 @@ def repeated_words(tokens: Column) -> Column:
             lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
         )
 
-    def covered(h: Column) -> Column:
+    def same(a: Column, b: Column) -> Column:
+        return F.coalesce(a == b, F.lit(False))
+
+    def sorted_places(h: Column) -> Column:
         placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
         def marked(s: Column) -> Column:
-            def hit(e: Column, j: Column) -> Column:
-                before, after = F.get(s, j - 1)["h"], F.get(s, j + 1)["h"]
-                return F.when(
-                    F.coalesce(before == e["h"], F.lit(False)) | F.coalesce(after == e["h"], F.lit(False)),
-                    F.array(e["i"], e["i"] + 1, e["i"] + 2),
-                )
+            twice = F.filter(s, lambda e, j: same(F.get(s, j - 1)["h"], e["h"]) | same(F.get(s, j + 1)["h"], e["h"]))
+            return F.sort_array(F.transform(twice, lambda e: e["i"]))
+
+        return let(placed, marked)
 
-            found = F.filter(F.transform(s, hit), lambda x: x.isNotNull())
-            return F.size(F.array_distinct(F.flatten(found)))
+    def looked_up(h: Column, twice: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.array_contains(twice, F.get(h, i)))
 
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(placed, marked))
+    def spread(at: Column) -> Column:
+        """Words under windows that begin at the ascending places ``at``."""
+        steps = F.transform(at, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - x, F.lit(3))))
+        return F.aggregate(steps, F.lit(0), lambda n, x: n + x)
+
+    def covered(h: Column) -> Column:
+        twice = let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x))))
+        places = let(twice, lambda d: F.when(F.size(d) <= 64, looked_up(h, d)).otherwise(sorted_places(h)))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(places, spread))
 
     return let(tokens, lambda w: F.coalesce(let(windows(w), covered), F.lit(0))).cast("long")
 
 
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def measured(text: Column) -> Column:
+    """A struct of ``stats`` (a struct of STATS) and ``lines``: ``k`` (key) and ``n`` (words) of each line with a word.
+
+    The words are taken once, line by line; a word never crosses a line feed.
+    """
+    symbols = F.length(F.regexp_replace(_filled(text), "[^#*$%&|<>]+", "")).cast("long")
+
+    def of(lines: Column, split: Column) -> Column:
+        stats = let(
+            F.flatten(split),
+            lambda w: F.struct(
+                F.size(w).cast("long").alias("n_words"),
+                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+                symbols.alias("n_symbols"),
+                (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+                repeated_words(w).alias("n_repeat_words"),
+            ),
+        )
+        keyed = F.transform(split, lambda w: F.struct(F.xxhash64(F.lower(F.array_join(w, " "))).alias("k"), F.size(w).alias("n")))
+        return F.struct(stats.alias("stats"), keyed.alias("lines"))
+
+    return let(worded_lines(text), lambda lines: let(F.transform(lines, words), lambda split: of(lines, split)))
+
+
 def base_stats(text: Column) -> Column:
-    """A struct of ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``."""
-    t = _filled(text)
-    lines = worded_lines(text)
-    return F.struct(
-        F.size(words(text)).cast("long").alias("n_words"),
-        F.length(F.regexp_replace(t, SPACES, "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(words(text)).alias("n_repeat_words"),
-    )
+    """A struct of STATS."""
+    return measured(text)["stats"]
 
 
 def base_failed(stats: Column) -> Column:
@@ -76,20 +105,7 @@ def base_failed(stats: Column) -> Column:
 
 def line_key(line: Column) -> Column:
     """Hash of a line without regard to case and white space."""
-    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, SPACES, " "))))
-
-
-def _lines(docs: DataFrame, host: str, text: str) -> DataFrame:
-    """One row per line with a word: ``host``, ``copy`` (hash of the text), ``line``, its words and place."""
-    keyed = F.transform(worded_lines(F.col(text)), lambda x: F.struct(line_key(x).alias("k"), F.size(words(x)).alias("n")))
-
-    def placed(lines: Column) -> Column:
-        return F.transform(
-            lines,
-            lambda x, i: F.struct(x["k"].alias("line"), x["n"].alias("n"), i.alias("at")),
-        )
-
-    return docs.select(host_key(F.col(host)).alias("host"), copy_key(F.col(text)).alias("copy"), F.inline(let(keyed, placed)))
+    return F.xxhash64(F.lower(F.array_join(words(line), " ")))
 
 
 def host_key(host: Column) -> Column:
@@ -101,81 +117,48 @@ def copy_key(text: Column) -> Column:
     return F.unhex(F.md5(_filled(text)))
 
 
-def sketch(text: Column) -> Column:
-    """The smallest 64-bit hash of the text's five-word shingles in each of 64 equal ranges of hashes.
-
-    A text of fewer than five words is one shingle, one without words has none.
-    """
-
-    def shingles(w: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(w) - 5)
-        five = F.transform(at, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(5)]))
-        return F.when(F.size(w) >= 5, five).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.expr("CAST(array() AS array<bigint>)"))
-
-    def smallest(h: Column) -> Column:
-        return F.filter(h, lambda x, i: (i == 0) | (_range(x) != _range(F.get(h, i - 1))))
-
-    return let(words(F.lower(_filled(text))), lambda w: let(F.sort_array(F.array_distinct(shingles(w))), smallest))
+#: A frequent line is repeated so often before it meets its documents; at ``most`` >= SALTS the repeated
+#: list has fewer rows than the lines themselves.
+SALTS = 16
 
 
-def _range(hash_: Column) -> Column:
-    """The range of a hash: its upper six bits."""
-    return F.shiftrightunsigned(hash_, 58)
-
-
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard index of two sketches: equal hashes by the ranges that either fills."""
-    filled = F.size(F.array_union(F.transform(a, _range), F.transform(b, _range)))
-    return F.size(F.array_intersect(a, b)) / filled
+def texts(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """``host``, ``copy`` (digest of the text), ``stats``, ``lines`` of each different text of a host, written."""
+    rows = docs.select(
+        host_key(F.col(host)).alias("host"), copy_key(F.col(text)).alias("copy"), measured(F.col(text)).alias("m")
+    )
+    once = rows.groupBy("host", "copy").agg(F.first("m").alias("m"))
+    return stash(once.select("host", "copy", "m.stats", "m.lines"), "texts")
 
 
-def classes(texts: DataFrame, text: str, percent: int = 80) -> DataFrame:
-    """``host``, ``copy``, ``cls``: near copies of a text on its host have one class.
+def frequent(known: DataFrame, most: int) -> DataFrame:
+    """``host``, ``line`` of the lines that stand in more than ``most`` different texts of the host.
 
-    Sketches that agree in four neighbouring ranges meet at the smallest ``copy`` of their bucket; a
-    text takes the smallest of the copies it meets whose likeness is at least ``percent``.  The
-    texts of a near-copy group meet the same few copies, so their classes stay few however many
-    they are, and no bucket is expanded into pairs.
+    ``known`` has one row per text and host, so a line counts once in each of its rows and the counts
+    are combined before the shuffle.
     """
-    signed = stash(texts.select("host", "copy", sketch(F.col(text)).alias("sketch")), "sketches")
-    hashes = F.col("sketch")
-    bands = F.transform(
-        F.array_distinct(F.transform(hashes, lambda x: F.shiftrightunsigned(x, 60))),
-        lambda k: F.xxhash64(k, F.filter(hashes, lambda x: F.shiftrightunsigned(x, 60) == k)),
-    )
-    rows = signed.select("host", "copy", F.explode(bands).alias("band"))
-    first = rows.groupBy("host", "band").agg(F.min("copy").alias("first"), F.count(F.lit(1)).alias("met")).where("met > 1")
-    met = rows.join(first, ["host", "band"]).where("first < copy").select("host", "copy", "first").distinct()
-    met = met.join(signed, ["host", "copy"]).withColumnRenamed("sketch", "mine")
-    met = met.join(signed.withColumnRenamed("copy", "first"), ["host", "first"])
-    near = met.where(100 * likeness(F.col("mine"), F.col("sketch")) >= percent)
-    near = near.groupBy("host", "copy").agg(F.min("first").alias("first"))
-    return signed.select("host", "copy").join(near, ["host", "copy"], "left").select("host", "copy", F.coalesce("first", "copy").alias("cls"))
+    lines = known.select("host", F.explode(F.array_distinct("lines.k")).alias("line"))
+    return lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("found")).where(F.col("found") > most).select("host", "line")
 
 
-def _often(lines: DataFrame, one: str, most: int) -> DataFrame:
-    """``host``, ``line`` of lines that stand with more than ``most`` different ``one``."""
-    per = lines.groupBy("host", "line", one).agg(F.lit(1).alias("x")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    return per.where(F.col("n") > most).select("host", "line")
-
+def removals(known: DataFrame, most: int = 20) -> DataFrame:
+    """``host``, ``copy``, ``removed_words``, ``removed_lines``: what each of the ``texts`` loses on its host."""
+    often = stash(frequent(known, most), "frequent-lines")
+    often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lines = known.select("host", "copy", F.inline("lines")).withColumnRenamed("k", "line")
+    lines = lines.withColumn("salt", F.pmod(F.xxhash64("copy"), F.lit(SALTS)).cast("int"))
+    hit = lines.join(often, ["host", "line", "salt"])
+    return hit.groupBy("host", "copy").agg(F.sum("n").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
 
-def removals(docs: DataFrame, host: str = "source", text: str = "text", most: int = 20) -> DataFrame:
-    """``host``, ``copy``, ``removed_words``, ``removed_lines``: what each text loses on its host.
 
-    A line is boilerplate if it stands in more than ``most`` different documents of the host: texts
-    that are no near copies of each other.  Only texts with a line in more than ``most`` texts are
-    compared.
-    """
-    lines = _lines(docs, host, text)
-    hit = lines.join(_often(lines, "copy", most), ["host", "line"])
-    # copies of a text bring the same lines: each place of a text counts once
-    hit = stash(hit.groupBy("host", "copy", "at").agg(F.max("n").alias("n"), F.max("line").alias("line")), "often")
-    texts = docs.select(host_key(F.col(host)).alias("host"), copy_key(F.col(text)).alias("copy"), F.col(text).alias("__text"))
-    texts = texts.join(hit.select("host", "copy").distinct(), ["host", "copy"], "left_semi")
-    texts = texts.groupBy("host", "copy").agg(F.first("__text").alias("__text"))
-    found = hit.select("host", "copy", "line").distinct().join(classes(texts, "__text"), ["host", "copy"])
-    hit = hit.join(_often(found, "cls", most), ["host", "line"])
-    return hit.groupBy("host", "copy").agg(F.sum("n").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
+def verdicts(docs: DataFrame, host: str = "source", text: str = "text", most: int = 20, depleted: float = 0.8) -> DataFrame:
+    """``host``, ``copy``, ``stats``, ``base_failed``, ``removed_words``, ``removed_lines``, ``kept`` of each text."""
+    known = texts(docs, host, text)
+    rows = known.drop("lines").join(removals(known, most), ["host", "copy"], "left")
+    rows = rows.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
+    failed = base_failed(F.col("stats"))
+    fine = F.col("removed_words") <= depleted * F.col("stats.n_words")
+    return rows.select("host", "copy", "stats", failed.alias("base_failed"), "removed_words", "removed_lines", (~failed & fine).alias("kept"))
 
 
 def without_lines(text: Column, removed: Column) -> Column:
@@ -194,19 +177,15 @@ def judge(
     """One row per document: ``doc`` (a struct of ``columns``), ``stats``, ``base_failed``,
     ``removed_words``, ``removed_lines`` (keys, NULL if none), ``kept``.
 
-    A document is kept if it passes the base rules and no more than ``depleted`` of its words stand
-    in boilerplate lines.  NULL and empty texts have no words and fail; a NULL host is a host of its
-    own; repeated rows get equal verdicts; an empty table gives no row.
+    A line is boilerplate on its host if it stands in more than ``most`` different texts there.  A
+    document is kept if it passes the base rules and no more than ``depleted`` of its words stand in
+    boilerplate lines.  NULL and empty texts have no words and fail; a NULL host is a host of its
+    own; repeated rows and copies get equal verdicts and count as one document; a text of any length
+    is read whole; an empty table gives no row.  Further columns of ``docs``, whatever their names,
+    change nothing and come back only inside ``doc``.
     """
-    removed = removals(docs, host, text, most)
+    found = verdicts(docs, host, text, most, depleted).withColumnsRenamed({"host": "__host", "copy": "__copy"})
     rows = docs.select(
-        F.struct(*columns).alias("doc"),
-        host_key(F.col(host)).alias("host"),
-        copy_key(F.col(text)).alias("copy"),
-        base_stats(F.col(text)).alias("stats"),
+        F.struct(*columns).alias("doc"), host_key(F.col(host)).alias("__host"), copy_key(F.col(text)).alias("__copy")
     )
-    rows = rows.join(removed, ["host", "copy"], "left")
-    rows = rows.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
-    failed = base_failed(F.col("stats"))
-    fine = F.col("removed_words") <= depleted * F.col("stats.n_words")
-    return rows.select("doc", "stats", failed.alias("base_failed"), "removed_words", "removed_lines", (~failed & fine).alias("kept"))
+    return rows.join(found, ["__host", "__copy"]).select("doc", "stats", "base_failed", "removed_words", "removed_lines", "kept")

@@ -35,17 +35,14 @@ def corpus():
     return rows + [(2000, None, "h1"), (2001, "", None), (2002, "\n\n", "h2"), rows[5], (2003, "ab ab ab " * 5000, "h1")]
 
 
-def brute(rows, most=20, shapes=8, depleted=0.8):
+def brute(rows, most=20, depleted=0.8):
     norm = lambda x: " ".join(W.findall(x)).lower()
-    around = {}
+    holders = {}
     split = {i: [norm(x) for x in (r[1] or "").split("\n") if W.search(x)] for i, r in enumerate(rows)}
     for i, r in enumerate(rows):
-        L = split[i]
-        for k, x in enumerate(L):
-            c = (L[k - 1] if k else None, L[k + 1] if k + 1 < len(L) else None)
-            d = around.setdefault((r[2], x), {})
-            d[c] = min(d.get(c, 10**9), len(L))
-    bad = {k for k, v in around.items() if len(v) > most and len(set(v.values())) >= shapes}
+        for x in split[i]:
+            holders.setdefault((r[2], x), set()).add(r[1])
+    bad = {k for k, v in holders.items() if len(v) > most}
     out = []
     for i, r in enumerate(rows):
         s = stats(r[1])
@@ -57,13 +54,15 @@ def brute(rows, most=20, shapes=8, depleted=0.8):
 
 def test_verdicts_equal_brute_force(make_docs):
     rows = corpus()
-    docs = make_docs(rows).withColumn("host", F.lit("clash")).withColumn("copy", F.lit(1)).withColumn("stats", F.lit(2))
-    got = rules.judge(docs, ["doc_id", "stats"])
+    docs = make_docs(rows)
+    for name in ("host", "copy", "stats", "line", "salt", "kept", "__host", "removed_words"):
+        docs = docs.withColumn(name, F.lit(2))
+    got = rules.judge(docs, ["doc_id", "stats", "__host"])
     got = got.select("doc.doc_id", "stats.*", "removed_words", "base_failed", "kept").collect()
     want, bad = brute(rows)
     assert bad and any(w[6] for w in want)
     assert sorted(map(tuple, got)) == want
-    assert all(r.kept for r in got if 1000 <= r.doc_id < 1080)
+    assert not any(r.kept for r in got if 1000 <= r.doc_id < 1080)
 
 
 def test_depleted_documents_go(make_docs):
@@ -99,14 +98,43 @@ def test_every_line_of_a_footer_goes(make_docs):
 def test_footers_go_whatever_the_lengths_in_lines(make_docs):
     foot = [" ".join(f"f{j}" for j in range(70))]
     long_ = [(i, "\n".join([f"own{i} {j}" for j in range(1000 + i)] + foot), "long") for i in range(25)]
-    # always three lines; lengths of 1000 lines and more; near copies of one document
+    # always three lines; lengths of 1000 lines and more
     rows = footed(60, lambda i: 1, foot) + [(999, "a b c\n" + foot[0], "h")]
-    near = [(5000 + k, "title\n" + " ".join(f"v{j}" for j in range(150)) + "".join("\nx" for _ in range(k % 12)) + f"\nend {k}", "near") for k in range(300)]
-    got = {r.doc.doc_id: r for r in rules.judge(make_docs(rows + near), ["doc_id"]).collect()}
+    got = {r.doc.doc_id: r for r in rules.judge(make_docs(rows), ["doc_id"]).collect()}
     assert {got[i].removed_words for i in (*range(60), 999)} == {70} and not got[999].kept
-    assert all(got[r[0]].removed_words == 0 and got[r[0]].kept for r in near)
     assert {r.removed_words for r in rules.judge(make_docs(long_), ["doc_id"]).collect()} == {70}
 
 
+def test_pages_that_are_mostly_template_go(make_docs):
+    """200 differing documents a host, the same six template lines in all, ever fewer words of their own."""
+    foot = [" ".join(f"t{k}x{j}" for j in range(20)) for k in range(6)]
+    rng = random.Random(11)
+    rows = []
+    for own in (6, 10, 15, 25, 60):
+        for i in range(200):
+            rows.append((own * 1000 + i, "\n".join([" ".join(f"o{rng.randrange(10**6)}" for _ in range(own)), *foot]), f"host{own}"))
+    got = rules.judge(make_docs(rows), ["doc_id"]).collect()
+    assert {r.removed_words for r in got} == {120}
+    assert {(r.doc.doc_id // 1000, r.kept) for r in got} == {(6, False), (10, False), (15, False), (25, False), (60, True)}
+
+
+def test_many_and_few_repeated_windows(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(k)}" for _ in range(n)) for k in (2, 9, 20, 60) for n in (0, 1, 2, 3, 4, 50, 3000)]
+    texts += ["a a a", "a a a a", "a b a b a b", "x y z q x y z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: r.n for r in df.select("i", rules.repeated_words(rules.words(F.col("text"))).alias("n")).collect()}
+    assert got == {i: stats(t)[4] for i, t in enumerate(texts)}
+
+
+def test_hot_line_is_split(make_docs):
+    """A line that all documents share meets them in SALTS parts."""
+    rows = [(i, f"own {i}\nshared line of the host", "h") for i in range(500)]
+    known = rules.texts(make_docs(rows))
+    plan = rules.removals(known)._jdf.queryExecution().executedPlan().toString()
+    assert "salt" in plan
+    assert {r.removed_words for r in rules.removals(known).collect()} == {5}
+
+
 def test_empty_table(make_docs):
     assert rules.judge(make_docs([]), ["doc_id"]).collect() == []
