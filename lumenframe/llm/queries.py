@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, extraction, fingerprints, language, mixing, neardup, quality, rules, secrets
+from lumenframe.llm import bpe, chat, extraction, fingerprints, language, mixing, neardup, quality, rules, secrets, simhash, whitening
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,3 +211,13 @@ def op5_language(spark, folder):
 @query("op10_extraction")
 def op10_extraction(spark, folder):
     return extraction.extract(table(spark, folder, "pages"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_simhash")
+def op12_simhash(spark, folder):
+    return simhash.group(table(spark, folder, "documents"))
