@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import bpe, chat, extraction, fingerprints, language, mixing, neardup, quality, rules, secrets, simhash, whitening
+from lumenframe.llm import bpe, chat, extraction, fingerprints, language, mixing, neardup, quality, repair, rules, secrets, simhash, whitening
 from lumenframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,8 @@ def op11_whitening(spark, folder):
 @query("op12_simhash")
 def op12_simhash(spark, folder):
     return simhash.group(table(spark, folder, "documents"))
+
+
+@query("op13_repair")
+def op13_repair(spark, folder):
+    return repair.repair_damaged(table(spark, folder, "conversations"))
