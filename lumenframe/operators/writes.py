@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.plans.lineage import stored
+from lumenframe.streaming.ledger import Ledger
+
 _P = "__patch"
 
 
@@ -102,6 +105,20 @@ def drain_queue(requests: DataFrame, done: DataFrame, failed: Column, message: C
     return result_rows(fresh, failed, message).unionByName(cleared)
 
 
+def drain_ledger(requests: DataFrame, ledger: Ledger, part: str, failed: Column, message: Column) -> DataFrame:
+    """``drain_queue`` against a durable ledger, which then holds the ids answered in this pass.
+
+    ``part`` names the pass; a pass that is run again under its name gives the same outcome.
+    """
+    done = ledger.known(ledger.buckets_of(requests), but=part)
+    if done is None:
+        done = requests.select("id").limit(0)
+    got = stored(drain_queue(requests, done, failed, message), "drained")
+    ledger.add(got.where("status <> 'cleared'"), part)
+    ledger.merge(ledger.buckets_of(got), but=part)
+    return got
+
+
 def append_results(table: DataFrame, rows: DataFrame, at_us: Column | int) -> DataFrame:
     """New rows enter as pending with a creation time and no completion."""
     at = at_us if isinstance(at_us, Column) else F.lit(at_us)

@@ -12,6 +12,7 @@ from lumenframe.queries import views
 from lumenframe.queries.base import query
 from lumenframe.sources import images as I
 from lumenframe.sources import tables as T
+from lumenframe.streaming.ledger import Ledger, answer_batch, read_answers
 
 c = F.col
 
@@ -106,13 +107,12 @@ def _(spark, sf):
     "requests",
 )
 def _(spark, sf):
-    from lumenframe.streaming.sinks import read_keyed, write_keyed
-
     path = scratch(spark, "done")
+    ledger = Ledger(spark, f"{path}/answered", ["id"], buckets=16)
     rows = W.result_rows(views.requests(spark, sf).select("id", "k"), c("k") % 10 == 0, F.expr("repeat(concat('failed ', k, '; '), 40)"))
-    write_keyed(rows, path, 0)
-    write_keyed(rows, path, 0)  # a replayed batch leaves one result per id
-    return read_keyed(spark, path, ["id"])
+    for part in ("pass-1", "pass-1", "pass-2"):  # a replayed pass and a second one leave one result per id
+        answer_batch(rows, ledger, f"{path}/results", part)
+    return read_answers(spark, f"{path}/results", rows.schema)
 
 
 @query(

@@ -10,6 +10,7 @@ from lumenframe.queries import views
 from lumenframe.queries.aggregates import progress_of
 from lumenframe.queries.base import query
 from lumenframe.streaming import jobs as S
+from lumenframe.streaming.ledger import answer
 from lumenframe.streaming.sinks import drain
 
 c = F.col
@@ -40,10 +41,15 @@ def _failed():
     return hash_shard(c("id"), 10) == 0
 
 
+def _answered(spark, requests, label):
+    folder = scratch(spark, label)
+    return answer(S.request_results(requests, _failed(), F.lit("bad request")), ["id"], folder, f"{folder}/progress")
+
+
 @query("t1_request_stream", f"SELECT DISTINCT id, {_RESULT}, CASE WHEN ('0x' || substr(id, 1, 8))::BIGINT % 10 = 0 THEN 'bad request' END AS error FROM requests", "requests")
 def _(spark, sf):
     req = S.with_event_time(views.requests_of(live(spark, sf)))
-    return drain(S.request_results(req, _failed(), F.lit("bad request")), ["id"], "append", label="t1", once=True)
+    return _answered(spark, req, "t1")
 
 
 @query(
@@ -53,7 +59,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     req = S.shard(S.with_event_time(views.requests_of(live(spark, sf))), 1, 4)
-    return drain(S.request_results(req, _failed(), F.lit("bad request")), ["id"], "append", label="t2", once=True)
+    return _answered(spark, req, "t2")
 
 
 _WINDOW = """SELECT worker, t_us // {w} * {w} AS start_us, count(*) AS beats, max(load) AS max_load, sum(mem_pct) / count(*) AS avg_mem, max(mem_pct) AS max_mem,

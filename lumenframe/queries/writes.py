@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from lumenframe.operators import brackets as B
 from lumenframe.operators import udfs as U
 from lumenframe.operators import writes as W
+from lumenframe.plans.lineage import scratch
 from lumenframe.queries import views
 from lumenframe.queries.base import QUERIES, query
+from lumenframe.streaming.ledger import Ledger
 
 c = F.col
 
@@ -119,7 +121,9 @@ _QUEUE = """, u AS (SELECT id, min(k) AS k FROM requests GROUP BY id)"""
 )
 def _(spark, sf):
     req = views.requests(spark, sf).select("id", "k")
-    return W.drain_queue(req, views.done(spark, sf).select("id"), c("k") % 10 == 0, F.expr("repeat(concat('failed ', k, '; '), 40)"))
+    ledger = Ledger(spark, scratch(spark, "answered"), ["id"], buckets=16)
+    ledger.add(views.done(spark, sf).select("id"), "earlier")
+    return W.drain_ledger(req, ledger, "this-pass", c("k") % 10 == 0, F.expr("repeat(concat('failed ', k, '; '), 40)"))
 
 
 @query(

@@ -101,9 +101,13 @@ def read_requests(spark: SparkSession, path: str, schema: str = REQUEST) -> Data
     return rows.withColumn("id", F.coalesce("id", file_id()))
 
 
-def stream_requests(spark: SparkSession, path: str, schema: str = REQUEST, files_per_batch: int = 1000) -> DataFrame:
-    """The same queue as a stream."""
+def stream_requests(
+    spark: SparkSession, path: str, schema: str = REQUEST, files_per_batch: int = 1000, archive: str | None = None
+) -> DataFrame:
+    """The same queue as a stream.  With ``archive`` (outside ``path``) the files of answered batches move there."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.json")
+    if archive:
+        rows = rows.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return rows.json(path).withColumn("id", F.coalesce("id", file_id()))
 
 

@@ -24,7 +24,7 @@ def with_event_time(df: DataFrame, t_us: str = "t_us") -> DataFrame:
 def request_results(requests: DataFrame, failed: Column, message: Column, limit: int = 200) -> DataFrame:
     """A result per request, however old; bad requests become error rows.
 
-    Nothing is kept in state: the keyed sink knows which ids were answered (``drain(once=True)``).
+    Nothing is kept in state: the ledger knows which ids were answered (``ledger.answer``).
     """
     return requests.select(
         "id",

@@ -31,12 +31,11 @@ def drain(
     mode: str,
     then: Callable[[DataFrame], DataFrame] | None = None,
     label: str = "stream",
-    once: bool = False,
 ) -> DataFrame:
     """Run a stream over everything available and return its keyed table.
 
-    ``once`` writes only keys that no earlier batch has written.  A source without rows gives an
-    empty table.  Rows that came behind a watermark and were left out are reported as a warning.
+    A source without rows gives an empty table.  Rows that came behind a watermark and were left out
+    are reported as a warning.  For one answer per key across runs see ``ledger.answer``.
     """
     spark = stream.sparkSession
     path = scratch(spark, label)
@@ -44,11 +43,6 @@ def drain(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = then(batch) if then else batch
-        if once:
-            rows = rows.dropDuplicates(list(keys))
-            if before := [b for b in written if b != batch_id]:
-                done = spark.read.parquet(*[f"{path}/out/batch={b}" for b in before]).select(*keys)
-                rows = rows.join(done, list(keys), "left_anti")
         write_keyed(rows, f"{path}/out", batch_id)
         written.append(batch_id)
 

@@ -14,6 +14,7 @@ from lumenframe.sources import images as I
 from lumenframe.sources import tables as T
 from lumenframe.streaming import jobs as J
 import __spark_entry__ as entry
+from lumenframe.streaming.ledger import answer
 from lumenframe.streaming.sinks import drain, read_keyed, write_keyed
 
 
@@ -152,7 +153,7 @@ def test_request_stream_survives_replays_and_bad_requests(spark, tmp_path):
     feed(src, "4", [{"id": "newer", "job": 1, "k": 1, "t_us": 10**15 + 1}])
     feed(src, "5", [{"id": "old", "job": 1, "k": 1, "t_us": 5}])  # years behind the others
     stream = J.with_event_time(T.stream_requests(spark, str(src), files_per_batch=1))
-    got = drain(J.request_results(stream, F.col("k") == 0, F.lit("e" * 500)), ["id"], "append", once=True).collect()
+    got = answer(J.request_results(stream, F.col("k") == 0, F.lit("e" * 500)), ["id"], str(tmp_path / "out"), str(tmp_path / "check")).collect()
     assert {r.id: r.status for r in got} == {"a": "done", "b": "error", "c": "done", "new": "done", "newer": "done", "old": "done"}
     assert {len(r.error) for r in got if r.error} == {200}
 
