@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, GroupedData
 from pyspark.sql import functions as F
 
 from lumenframe.functions import color as K
@@ -190,8 +190,8 @@ def per_class_accuracy(df: DataFrame, truth: str, pred: str, classes: Sequence)
     return got.withColumn("accuracy", F.col("hit") / F.greatest(F.lit(1), F.col("n")))
 
 
-def binary_prf(df: DataFrame, truth: Column, pred: Column) -> DataFrame:
-    """One row: tp, fp, fn, precision, recall, F1, accuracy."""
+def binary_prf(df: DataFrame | GroupedData, truth: Column, pred: Column) -> DataFrame:
+    """One row (or one per group): tp, fp, fn, precision, recall, F1, accuracy."""
     one = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(pred & truth).alias("tp"),
@@ -201,7 +201,9 @@ def binary_prf(df: DataFrame, truth: Column, pred: Column) -> DataFrame:
     )
     p = F.col("tp") / F.greatest(F.col("tp") + F.col("fp"), F.lit(1))
     r = F.col("tp") / F.greatest(F.col("tp") + F.col("fn"), F.lit(1))
+    keys = [c for c in one.columns if c not in ("n", "tp", "fp", "fn", "hit")]
     return one.select(
+        *keys,
         "tp",
         "fp",
         "fn",

@@ -1,4 +1,4 @@
-"""User code inside Spark: batch scoring, ordered walks, a linear probe."""
+"""User code inside Spark: batch scoring and ordered walks."""
 
 from __future__ import annotations
 
@@ -7,12 +7,6 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from lumenframe.functions import vectors as V
-from lumenframe.operators.evaluation import binary_prf
-from lumenframe.operators.sampling import random_split
-from lumenframe.plans.ordered import total_of, with_total
 
 
 def score_batch(df: DataFrame, key: str, load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str) -> DataFrame:
@@ -82,24 +76,3 @@ def per_group_in_order(
 
     rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return rows.mapInPandas(run, schema)
-
-
-def linear_probe(df: DataFrame, key: str, vector: str, label: str, val_frac: float, seed) -> DataFrame:
-    """A linear rule between the class means, each class weighing the same, scored on a seeded hold-out.
-
-    The weight vector is the difference of the two mean vectors, the threshold half way between
-    them; all features of all training rows take part, in one aggregate per dimension.  One row: tp,
-    fp, fn, precision, recall, f1, accuracy.
-    """
-    rows = random_split(df, key, F.floor(F.col("total") * val_frac), seed)
-    parts = rows.where("split = 'train'").select(label, F.posexplode(F.col(vector).cast("array<double>")).alias("pos", "v"))
-    means = parts.groupBy("pos").agg(F.avg(F.when(F.col(label) == 1, F.col("v"))).alias("m1"), F.avg(F.when(F.col(label) != 1, F.col("v"))).alias("m0"))
-    gap, mid = F.col("m1") - F.col("m0"), F.col("m1") + F.col("m0")
-    rule = total_of(
-        means,
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", gap.alias("w")))), lambda p: p["w"]).alias("__w"),  # one entry per dimension
-        (F.sum(gap * mid) / 2).alias("__cut"),
-    )
-    scored = with_total(rows.where("split = 'val'").select(label, vector), rule)
-    score = F.round(V.dot(F.col(vector), F.col("__w")) - F.col("__cut"), 9)
-    return binary_prf(scored.select(F.col(label).alias("label"), (score > 0).alias("hit")), F.col("label") == 1, F.col("hit"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenframe.operators import brackets as B
+from lumenframe.operators import classifier as C
 from lumenframe.operators import udfs as U
 from lumenframe.operators import writes as W
 from lumenframe.plans.lineage import scratch
@@ -187,18 +188,34 @@ def _(spark, sf):
     return U.per_group_in_order(hits, ["shoot"], ["start"], _consume, "shoot bigint, start bigint")
 
 
-@query(
-    "y3_linear_probe",
-    """, e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label = 3 AS t, row_number() OVER (ORDER BY md5('0|' || vec_id), vec_id) AS rn, floor(count(*) OVER () * 0.2::DOUBLE) AS n_val FROM embeddings),
-      u AS (SELECT t, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM e WHERE rn > n_val),
-      m AS (SELECT i, avg(x) FILTER (t) AS m1, avg(x) FILTER (NOT t) AS m0 FROM u GROUP BY i),
-      w AS (SELECT list(m1 - m0 ORDER BY i) AS w, sum((m1 - m0) * (m1 + m0)) / 2 AS cut FROM m),
-      p AS (SELECT t, round(list_dot_product(v, w) - cut, 9) > 0 AS p FROM e, w WHERE rn <= n_val),
-      a AS (SELECT count(*) AS n, count_if(t AND p) AS tp, count_if(NOT t AND p) AS fp, count_if(t AND NOT p) AS fn, count_if(t = p) AS hit FROM p),
+#: Gradient steps of fixed length reach the same minimum as the Newton steps: the loss is strictly convex.
+_PROBE = """, e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label, row_number() OVER (ORDER BY md5('0|' || vec_id), vec_id) AS rn, floor(count(*) OVER () * 0.2::DOUBLE) AS n_val FROM embeddings),
+      cn AS (SELECT unnest({conditions}) AS condition),
+      tr AS (SELECT condition, vec_id, v, (label = condition)::INT AS y, count(*) OVER (PARTITION BY condition) AS n, sum((label = condition)::INT) OVER (PARTITION BY condition) AS np FROM e, cn WHERE rn > n_val),
+      tw AS (SELECT condition, vec_id, v, y, CASE WHEN y = 1 THEN 0.5::DOUBLE / np ELSE 0.5::DOUBLE / (n - np) END AS share FROM tr),
+      rec(condition, step, w, b) AS (
+        SELECT condition, 0, list_transform(range(64), lambda i: 0.0::DOUBLE), 0.0::DOUBLE FROM cn
+        UNION ALL
+        SELECT condition, step + 1, list_transform(list_zip(w, g), lambda p: p[1] - 2.5::DOUBLE * (p[2] + 0.1::DOUBLE * p[1])), b - 2.5::DOUBLE * gb FROM (
+          SELECT condition, any_value(step) AS step, any_value(w) AS w, any_value(b) AS b, list(s ORDER BY i) AS g, any_value(gb) AS gb FROM (
+            SELECT condition, any_value(step) AS step, any_value(w) AS w, any_value(b) AS b, sum(r) AS gb, i, sum(r * v[i]) AS s FROM (
+              SELECT tw.condition, step, w, b, v, share * (1 / (1 + exp(-(list_dot_product(v, w) + b))) - y) AS r FROM rec JOIN tw ON tw.condition = rec.condition WHERE step < 120
+            ), range(1, 65) d(i) GROUP BY condition, i
+          ) GROUP BY condition
+        )),
+      p AS (SELECT rec.condition, label = rec.condition AS t, round(list_dot_product(v, w) + b, 9) > 0 AS p FROM e, rec WHERE rn <= n_val AND step = 120),
+      a AS (SELECT condition, count(*) AS n, count_if(t AND p) AS tp, count_if(NOT t AND p) AS fp, count_if(t AND NOT p) AS fn, count_if(t = p) AS hit FROM p GROUP BY condition),
       r AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS precision, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall FROM a)
-      SELECT tp, fp, fn, precision, recall, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1, hit / n AS accuracy FROM r""",
-)
+      SELECT {columns}tp, fp, fn, precision, recall, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1, hit / n AS accuracy FROM r"""
+
+
+@query("y3_linear_probe", _PROBE.format(conditions="[3]", columns=""))
+def _(spark, sf):
+    e = views.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    return C.condition_classifiers(e, "vec_id", "embedding", "label", [3]).drop("condition")
+
+
+@query("y3_condition_classifiers", _PROBE.format(conditions="[0, 1, 2, 3, 4, 5]", columns="condition, "))
 def _(spark, sf):
     e = views.table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
-    labelled = e.select("vec_id", "embedding", (c("label") == 3).cast("int").alias("label"))
-    return U.linear_probe(labelled, "vec_id", "embedding", "label", 0.2, 0)
+    return C.condition_classifiers(e, "vec_id", "embedding", "label", [0, 1, 2, 3, 4, 5])
