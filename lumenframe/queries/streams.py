@@ -10,6 +10,7 @@ from lumenframe.queries import views
 from lumenframe.queries.aggregates import progress_of
 from lumenframe.queries.base import query
 from lumenframe.streaming import jobs as S
+from lumenframe.streaming import stateful as K
 from lumenframe.streaming.ledger import answer
 from lumenframe.streaming.sinks import drain
 
@@ -134,24 +135,63 @@ def _(spark, sf):
     "frames",
 )
 def _(spark, sf):
-    # two closing frames per shoot, long after the last event, arrive as later files: the
-    # first moves the watermark, the second lets every shoot see it
+    labelled = K.bracket_stream(_arriving(spark, sf), 86_400.0, "2 days")
+    rows = drain(labelled, ["shoot", "cluster", "frame_id"], "append", label="t7", settings=K.STORE)
+    return B.select_triplets(rows.where("frame_id >= 0"))
+
+
+def _arriving(spark, sf):
+    """The frames as a stream of files in time order.
+
+    Two closing frames per shoot, long after the last event, arrive as later files: the first moves the
+    watermark, the second lets every shoot see it.
+    """
     path = scratch(spark, "frames")
     f = views.frames(spark, sf).select("shoot", "frame_id", "name", "t_us", "ev")
-    # frames arrive as files in time order, so state holds the lateness window and open brackets only
-    edges = [int(x) for x in f.approxQuantile("t_us", [0.25, 0.5, 0.75], 0.05)]
+    ranges = max(4, -(-f.count() // 2_000_000))
+    edges = [int(x) for x in f.approxQuantile("t_us", [k / ranges for k in range(1, ranges)], 0.05)]
+    parts = 4
     for lo, hi in zip([-(2**62), *edges], [*edges, 2**62]):
-        f.where((c("t_us") >= lo) & (c("t_us") < hi)).coalesce(1).write.parquet(f"{path}/a{lo + 2**62:020d}")
+        some = f.where((c("t_us") >= lo) & (c("t_us") < hi)).repartitionByRange(parts, "t_us")
+        some.write.parquet(f"{path}/a{lo + 2**62:020d}")
     for i, days in enumerate((30, 90)):
         at = F.lit(NOW + days * 86_400_000_000)
         end = f.select("shoot").distinct().select(
             "shoot", F.lit(-1).cast("long").alias("frame_id"), F.lit("end").alias("name"), at.alias("t_us"), F.lit(-9.0).alias("ev")
         )
-        end.coalesce(1).write.parquet(f"{path}/b{i}")
-    stream = spark.readStream.schema(f.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(path)
-    labelled = S.bracket_stream(S.with_event_time(stream), 86_400.0, "2 days")
-    rows = drain(labelled, ["shoot", "cluster", "frame_id"], "append", label="t7")
-    return B.select_triplets(rows.where("frame_id >= 0"))
+        end.repartition(parts, "shoot").write.parquet(f"{path}/b{i}")
+    stream = spark.readStream.schema(f.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", parts).parquet(path)
+    return S.with_event_time(stream)
+
+
+@query(
+    "t7_bracket_sessions",
+    """, f AS (SELECT * FROM frames WHERE ev IS NOT NULL),
+      fl AS (SELECT *, CASE WHEN lag(t_us) OVER w IS NULL OR t_us - lag(t_us) OVER w > 86400000000 THEN 1 ELSE 0 END AS opens FROM f WINDOW w AS (PARTITION BY shoot ORDER BY t_us, name)),
+      cl AS (SELECT *, sum(opens) OVER (PARTITION BY shoot ORDER BY t_us, name) AS cn FROM fl)
+      SELECT shoot, min(t_us) AS cluster, count(*) AS n, max(t_us) AS last_us, arg_min(frame_id, (-ev, t_us, name)) FILTER (ev <= -1) AS under, arg_min(frame_id, (abs(ev), t_us, name)) FILTER (abs(ev) <= 1) AS mid,
+        arg_min(frame_id, (ev, t_us, name)) FILTER (ev >= 1) AS over FROM cl GROUP BY shoot, cn""",
+    "frames",
+)
+def _(spark, sf):
+    got = drain(K.bracket_sessions(_arriving(spark, sf), 86_400.0, "2 days"), ["shoot", "cluster"], "append", label="t7s")
+    return got.where(c("cluster") < NOW + 30 * 86_400_000_000)
+
+
+_DAY = 86_400_000_000
+
+
+@query(
+    "t4_worker_silence",
+    f""", m AS (SELECT (max(t_us) // 1000 - 86400000) * 1000 AS mark FROM heartbeats),
+      b AS (SELECT DISTINCT worker, t_us FROM heartbeats WHERE worker IS NOT NULL),
+      g AS (SELECT worker, t_us, lag(t_us) OVER w AS prev, lead(t_us) OVER w AS next FROM b WINDOW w AS (PARTITION BY worker ORDER BY t_us))
+      SELECT worker, 'silent' AS kind, t_us + {3 * _DAY} AS t_us FROM g, m WHERE (next IS NULL OR next - t_us > {3 * _DAY}) AND t_us + {3 * _DAY} < mark
+      UNION ALL SELECT worker, 'back', t_us FROM g, m WHERE t_us - prev > {3 * _DAY} AND t_us <= mark""",
+    "heartbeats",
+)
+def _(spark, sf):
+    return drain(K.silence(_beats(spark, sf), 3 * 86_400.0, "1 day"), ["worker", "kind", "t_us"], "append", label="t4s", settings=K.STORE)
 
 
 @query(
@@ -175,3 +215,21 @@ def _(spark, sf):
     started = views.ev(spark, sf).where("event_type = 'view' AND k < 20").groupBy(c("user_id").alias("worker")).agg(F.max("t_us").alias("started_us"))
     last = drain(S.last_actions(log), ["worker"], "update", label="t8")
     return S.pending_actions(last, started)
+
+
+@query(
+    "t8_unanswered",
+    f""", l AS (SELECT user_id AS worker, t_us, event_id AS seq, CASE WHEN k % 2 = 0 THEN 'restart_worker' ELSE 'reboot_host' END AS action, event_type FROM ev WHERE event_type IN ('signup', 'error')),
+      m AS (SELECT least(max(t_us) FILTER (event_type = 'signup'), max(t_us) FILTER (event_type = 'error')) // 1000 * 1000 - {_DAY} AS mark FROM l)
+      SELECT worker, action, t_us, seq FROM l r, m WHERE event_type = 'signup' AND t_us + {5 * _DAY} < mark
+        AND NOT EXISTS (SELECT 1 FROM l x WHERE x.event_type = 'error' AND x.worker = r.worker AND x.action = r.action AND x.t_us BETWEEN r.t_us AND r.t_us + {5 * _DAY})""",
+    "ev",
+)
+def _(spark, sf):
+    def side(kind):
+        action = F.when(c("k") % 2 == 0, "restart_worker").otherwise("reboot_host")
+        rows = live(spark, sf).where(c("event_type") == kind)
+        return S.with_event_time(rows.select(c("user_id").alias("worker"), action.alias("action"), "t_us", c("event_id").alias("seq")))
+
+    got = K.unanswered(side("signup"), side("error"), "5 days", "1 day")
+    return drain(got, ["worker", "action", "t_us", "seq"], "append", label="t8u")

@@ -1,4 +1,4 @@
-"""Streams over request queues, heartbeats, progress deltas and arriving frames.
+"""Streams over request queues, heartbeats and progress deltas.
 
 Every function maps a streaming DataFrame (and, in tests, a static one) to a DataFrame.
 Event time is the column ``t``; how late a row may be is the caller's choice.
@@ -6,13 +6,8 @@ Event time is the column ``t``; how late a row may be is the caller's choice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lumenframe.functions.review import hash_shard
 
@@ -126,54 +121,3 @@ def pending_actions(last: DataFrame, started: DataFrame) -> DataFrame:
     )
     fresh = open_.join(started, "worker", "left").where("started_us IS NULL OR ask.t_us > started_us")
     return fresh.select("worker", "ask.action", "ask.t_us", "ask.seq")
-
-
-# ---- brackets as frames arrive ----------------------------------------------------------------
-
-BRACKET_ROW = "shoot bigint, cluster bigint, frame_id bigint, name string, t_us bigint, ev double"
-_STATE = "frames array<struct<t_us:bigint,name:string,frame_id:bigint,ev:double>>"
-
-
-def bracket_stream(frames: DataFrame, max_gap_s: float = 60.0, late: str = "2 minutes") -> DataFrame:
-    """Frames labelled with their bracket (named by its first capture time) once it has closed.
-
-    Frames wait in state until the watermark has passed them, so they are walked in event
-    time.  A bracket closes when a frame with a lower EV or after too long a pause follows, or
-    when the watermark is a full pause beyond its last frame.  State holds the frames of the
-    lateness window and one open bracket per shoot.
-    """
-    gap = int(max_gap_s * 1_000_000)
-
-    def step(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = [tuple(f) for f in state.get[0]] if state.exists else []
-        for b in batches:
-            held.extend(zip(b["t_us"], b["name"], b["frame_id"], b["ev"]))
-        held.sort()
-        mark = state.getCurrentWatermarkMs() * 1000
-        closed, run = [], []
-        for at, f in enumerate(held):
-            if f[0] >= mark:
-                rest = held[at:]
-                break
-            if run and (f[3] < run[-1][3] or f[0] - run[-1][0] > gap):
-                closed.append(run)
-                run = []
-            run.append(f)
-        else:
-            rest = []
-        if run and run[-1][0] + gap < mark:
-            closed.append(run)
-            run = []
-        keep = run + rest
-        if keep:
-            state.update(([list(f) for f in keep],))
-            # the watermark must be strictly beyond the last frame plus the pause
-            state.setTimeoutTimestamp(max(keep[-1][0] + gap, mark) // 1000 + 2)
-        elif state.exists:
-            state.remove()
-        out = [(key[0], r[0][0], f[2], f[1], f[0], f[3]) for r in closed for f in r]
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in BRACKET_ROW.split(", ")])
-
-    rows = frames.where("ev IS NOT NULL").withWatermark("t", late).groupBy("shoot")
-    return rows.applyInPandasWithState(step, BRACKET_ROW, _STATE, "append", GroupStateTimeout.EventTimeTimeout)

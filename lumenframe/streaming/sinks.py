@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +31,12 @@ def drain(
     mode: str,
     then: Callable[[DataFrame], DataFrame] | None = None,
     label: str = "stream",
+    settings: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Run a stream over everything available and return its keyed table.
 
     A source without rows gives an empty table.  Rows that came behind a watermark and were left out
-    are reported as a warning.  For one answer per key across runs see ``ledger.answer``.
+    are reported as a warning.  ``settings`` hold for this stream only.  For one answer per key across runs see ``ledger.answer``.
     """
     spark = stream.sparkSession
     path = scratch(spark, label)
@@ -46,13 +47,20 @@ def drain(
         write_keyed(rows, f"{path}/out", batch_id)
         written.append(batch_id)
 
-    q = (
+    writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{path}/progress")
         .trigger(availableNow=True)
         .foreachBatch(sink)
-        .start()
     )
+    before = {k: spark.conf.get(k, None) for k in settings or {}}
+    try:
+        for k, v in (settings or {}).items():
+            spark.conf.set(k, v)
+        q = writer.start()  # a stream keeps the settings it was started with
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     late = sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators)
     if late:

@@ -13,6 +13,7 @@ from lumenframe.operators import writes as W
 from lumenframe.sources import images as I
 from lumenframe.sources import tables as T
 from lumenframe.streaming import jobs as J
+from lumenframe.streaming import stateful as K
 import __spark_entry__ as entry
 from lumenframe.streaming.ledger import answer
 from lumenframe.streaming.sinks import drain, read_keyed, write_keyed
@@ -211,7 +212,7 @@ def test_brackets_of_a_stream_equal_the_batch(spark, tmp_path):
     feed(src, "4", [{**end, "t_us": 90_000_000_000}])
     schema = "shoot bigint, frame_id bigint, name string, t_us bigint, ev double"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(src))
-    got = drain(J.bracket_stream(J.with_event_time(stream)), ["shoot", "cluster", "frame_id"], "append").where("frame_id >= 0")
+    got = drain(K.bracket_stream(J.with_event_time(stream)), ["shoot", "cluster", "frame_id"], "append", settings=K.STORE).where("frame_id >= 0")
     clusters = {}
     for r in got.collect():
         clusters.setdefault(r.cluster, set()).add(r.frame_id)
