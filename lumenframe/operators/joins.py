@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions import review as R
+from lumenframe.plans.lineage import stored
 from lumenframe.plans.ordered import number_slot, range_sums, ranked, total_of, with_total
 
 
@@ -107,49 +107,87 @@ def resolve_style(df: DataFrame, style: str, styles: DataFrame, default: str) ->
     )
 
 
-def box_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], min_iou: float) -> DataFrame:
-    """Pairs of boxes of the same group with IoU >= ``min_iou`` > 0 (columns ``a_*``, ``b_*``, ``iou``).
+_BOX = ("box_id", "x0", "y0", "x1", "y1")
+
+
+def _named(df: DataFrame, tag: str, keys: Sequence[str]) -> DataFrame:
+    """The boxes with an area, columns prefixed by ``tag``."""
+    got = df.select(*keys, *[F.col(x).alias(f"{tag}_{x}") for x in _BOX], *[F.col(x).alias(f"{tag}_{x}") for x in df.columns if x not in _BOX and x not in keys])
+    return got.where((F.col(f"{tag}_x1") > F.col(f"{tag}_x0")) & (F.col(f"{tag}_y1") > F.col(f"{tag}_y0")))
+
+
+def _near_cells(tag: str, lo: str, hi: str, min_iou: float) -> Column:
+    """The (level, cell) pairs along one axis in which a box that overlaps enough can begin.
 
-    The IoU bounds the ratio of the areas, so boxes meet only boxes of the same or a near size
-    level (the binary logarithm of the area), on the grid of the level of ``b``, whose cells are
-    about as large as its boxes: a box of any size covers a few cells.  A pair is reported in the
-    cell of the upper left corner of its intersection, hence once.  Boxes without area have no pair.
+    Its length is within the bound of the own one, and its begin within the part of the longer of
+    both that the overlap leaves.
     """
-    cols = ("box_id", "x0", "y0", "x1", "y1")
-    reach = math.ceil(-math.log2(min_iou) - 1e-9)
+    size = (F.col(f"{tag}_{hi}") - F.col(f"{tag}_{lo}")).cast("double")
+    begin = F.col(f"{tag}_{lo}").cast("double")
+    levels = F.sequence(F.floor(F.log2(size * min_iou) - 1e-9), F.floor(F.log2(size / min_iou) + 1e-9))
 
-    def area(t: str) -> Column:
-        return (F.col(f"{t}_x1") - F.col(f"{t}_x0")) * (F.col(f"{t}_y1") - F.col(f"{t}_y0"))
+    def cells(level: Column) -> Column:
+        side = F.pow(F.lit(2.0), level)
+        reach = (1 - min_iou) * F.greatest(size, F.least(2 * side, size / min_iou)) * (1 + 1e-9)
+        first, last = F.floor((begin - reach) / side), F.floor((begin + reach) / side)
+        return F.transform(F.sequence(first, last), lambda c: F.struct(level.alias("level"), c.alias("cell")))
+
+    return F.flatten(F.transform(levels, cells))
+
+
+def _own_cell(tag: str, lo: str, hi: str) -> Column:
+    level = F.floor(F.log2((F.col(f"{tag}_{hi}") - F.col(f"{tag}_{lo}")).cast("double")))
+    return F.struct(level.alias("level"), F.floor(F.col(f"{tag}_{lo}").cast("double") / F.pow(F.lit(2.0), level)).alias("cell"))
 
-    side = F.pow(F.lit(2.0), F.ceil(F.col("__level") / 2))
 
-    def on_grid(df: DataFrame, tag: str, levels: Column) -> DataFrame:
-        named = df.select(*keys, *[F.col(x).alias(f"{tag}_{x}") for x in cols], *[
-            F.col(x).alias(f"{tag}_{x}") for x in df.columns if x not in cols and x not in keys
-        ])
-        named = named.where((area(tag) > 0) & (F.col(f"{tag}_x1") > F.col(f"{tag}_x0")))
+def _by_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], min_iou: float, block: int) -> DataFrame:
+    """Candidate pairs of crowded groups: a box of ``b`` lies in one cell of size and place, one of ``a`` asks the
+    cells around it.  The pairs of a cell are dealt in blocks of ``block`` by ``block``."""
+    at = [*keys, "__x", "__y"]
+    a = a.withColumn("__x", F.explode(_near_cells("a", "x0", "x1", min_iou))).withColumn("__y", F.explode(_near_cells("a", "y0", "y1", min_iou)))
+    b = b.withColumn("__x", _own_cell("b", "x0", "x1")).withColumn("__y", _own_cell("b", "y0", "y1"))
 
-        def cells(lo: str, hi: str) -> Column:
-            first = F.floor(F.col(f"{tag}_{lo}") / side)
-            last = F.floor(F.col(f"{tag}_{hi}") / side)
-            return F.explode(F.sequence(first, last))
+    def parts(df: DataFrame, out: str) -> DataFrame:
+        return df.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(out))
 
-        return named.withColumn("__level", levels).withColumn("__cx", cells("x0", "x1")).withColumn("__cy", cells("y0", "y1"))
+    # a cell that only one side has falls out here
+    cells = stored(parts(a, "__na").join(parts(b, "__nb"), at), "box-cells")
 
-    def level(t: str) -> Column:
-        return F.floor(F.log2(area(t)) + 1e-9).cast("int")
+    def dealt(df: DataFrame, tag: str, own: str, other: str) -> DataFrame:
+        rows = df.join(cells, at)
+        mine = F.pmod(F.xxhash64(f"{tag}_box_id", f"{tag}_x0", f"{tag}_y0"), F.col(f"__n{own}")).cast("int")
+        return rows.withColumn(f"__i{own}", mine).withColumn(f"__i{other}", F.explode(F.sequence(F.lit(0), F.col(f"__n{other}") - 1))).drop("__na", "__nb")
 
-    near = F.explode(F.sequence(level("a") - reach, level("a") + reach))
-    both = on_grid(a, "a", near).join(on_grid(b, "b", level("b")), [*keys, "__level", "__cx", "__cy"])
-    left, top = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
-    iw = F.greatest(F.lit(0), F.least("a_x1", "b_x1") - left)
-    ih = F.greatest(F.lit(0), F.least("a_y1", "b_y1") - top)
-    inter = iw * ih
+    return dealt(a, "a", "a", "b").join(dealt(b, "b", "b", "a"), [*at, "__ia", "__ib"]).drop("__x", "__y", "__ia", "__ib")
+
+
+def box_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], min_iou: float, crowd: int = 10_000, block: int = 1024) -> DataFrame:
+    """Pairs of boxes of the same group with IoU >= ``min_iou`` > 0 (columns ``a_*``, ``b_*``, ``iou``).
+
+    The boxes of a group meet directly where they make at most ``crowd`` pairs.  In a crowded group they
+    meet on a grid that follows their sizes: the IoU bounds how much width, height and place of two
+    boxes may differ, so only near boxes of near sizes meet, each pair once, and a cell of very many
+    boxes is dealt over tasks in blocks.  Boxes without area have no pair.
+    """
+    keys = list(keys)
+    a, b = _named(a, "a", keys), _named(b, "b", keys)
+    sizes = a.select(*keys, F.lit(1).alias("na"), F.lit(0).alias("nb")).unionByName(b.select(*keys, F.lit(0).alias("na"), F.lit(1).alias("nb")))
+    sizes = sizes.groupBy(*keys).agg(F.sum("na").alias("na"), F.sum("nb").alias("nb")).where(F.col("na") * F.col("nb") > crowd)
+    crowded = stored(sizes.select(*keys), "crowded-groups")
+    if crowded.isEmpty():
+        met = a.join(b, keys)
+    else:
+        inside = [x.join(crowded, keys, "left_semi") for x in (a, b)]
+        met = a.join(crowded, keys, "left_anti").join(b, keys)
+        met = met.unionByName(_by_cells(*inside, keys, min_iou, block).select(*met.columns))
+
+    def area(t: str) -> Column:
+        return (F.col(f"{t}_x1") - F.col(f"{t}_x0")) * (F.col(f"{t}_y1") - F.col(f"{t}_y0"))
 
-    union = area("a") + area("b") - inter
-    here = (F.floor(left / side) == F.col("__cx")) & (F.floor(top / side) == F.col("__cy"))
-    iou = F.when(union > 0, inter / union).otherwise(F.lit(0.0))
-    return both.where(here).withColumn("iou", iou).where(F.col("iou") >= min_iou).drop("__level", "__cx", "__cy")
+    iw = F.least("a_x1", "b_x1") - F.greatest("a_x0", "b_x0")
+    ih = F.least("a_y1", "b_y1") - F.greatest("a_y0", "b_y0")
+    inter = F.when((iw > 0) & (ih > 0), iw * ih)
+    return met.withColumn("iou", inter / (area("a") + area("b") - inter)).where(F.col("iou") >= min_iou)
 
 
 def agreement(df: DataFrame, a: str, b: str) -> DataFrame:

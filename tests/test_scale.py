@@ -222,3 +222,49 @@ def test_one_shoot_of_one_day_is_several_tasks(spark):
     assert got.select("cluster").distinct().count() == 1667
     assert got.groupBy((F.col("t_us") / 3_600_000_000).cast("int")).count().count() == 24
     assert got._jdf.queryExecution().executedPlan().toString().count("Window") <= 8
+
+
+def test_a_pile_of_boxes_is_dealt_evenly(spark):
+    """20,000 boxes of one size around one spot, of which few overlap enough."""
+    rng = np.random.default_rng(5)
+    n = 20_000
+    xy = rng.integers(0, 4000, (n, 2))
+    rows = [(1, str(i), int(x), int(y), int(x) + 200, int(y) + 200) for i, (x, y) in enumerate(xy)]
+    schema = "image int, box_id string, x0 int, y0 int, x1 int, y1 int"
+    a, b = spark.createDataFrame(rows, schema), spark.createDataFrame(rows[:3000], schema)
+    got = {(r.a_box_id, r.b_box_id) for r in J.box_pairs(a, b, ["image"], 0.8).select("a_box_id", "b_box_id").collect()}
+    want = set()
+    for j, (x, y) in enumerate(xy[:3000]):
+        w, h = 200 - np.abs(xy[:, 0] - x), 200 - np.abs(xy[:, 1] - y)
+        inter = np.where((w > 0) & (h > 0), w * h, 0)
+        want |= {(str(i), str(j)) for i in np.flatnonzero(inter / (80_000 - inter) >= 0.8)}
+    assert got == want and len(want) > 3000
+    # all on one spot: the pairs of the one cell are dealt in blocks
+    same = spark.range(3000).select(F.lit(1).alias("image"), F.col("id").cast("string").alias("box_id"), *[F.lit(v).alias(c) for c, v in (("x0", 5), ("y0", 5), ("x1", 9), ("y1", 9))])
+    pairs = J.box_pairs(same, same, ["image"], 0.8, block=500)
+    assert pairs.count() == 9_000_000
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "__ia" in plan and "__ib" in plan
+
+
+def test_a_long_chain_of_displacements_needs_no_more_jobs(spark):
+    """Box i asks for targets i and i + 1: every one is displaced by the one before it."""
+    def jobs(n, small):
+        df = spark.createDataFrame([("g", f"{i:06d}", f"p{i:06d}", f"t{i + k:06d}") for i in range(n) for k in (0, 1)], "g string, r string, p string, t string")
+        group = f"chain-{n}-{small}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = {(x.p, x.t) for x in greedy_match(df, ["g"], "r", "p", "t", small).collect()}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == {(f"p{i:06d}", f"t{i:06d}") for i in range(n)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(10, 100_000) == jobs(200, 100_000) == jobs(2000, 100_000)
+    assert jobs(200, 50) < 150  # cut in components: rounds by the logarithm of the chain
+
+
+def test_large_groups_are_cut_in_components(spark):
+    rng = np.random.default_rng(9)
+    rows = [(g, int(r), f"p{r}", f"t{t}") for g in (1, None) for r in range(150) for t in rng.choice(np.arange(r // 5 * 4, r // 5 * 4 + 6), 3, replace=False)]
+    df = spark.createDataFrame(rows, "g int, r int, p string, t string")
+    whole = sorted(map(str, greedy_match(df.where("g IS NOT NULL"), ["g"], "r", "p", "t").collect()))
+    assert whole == sorted(map(str, greedy_match(df.where("g IS NOT NULL"), ["g"], "r", "p", "t", small=20).collect()))
