@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|[^<]+|<""",
@@ -36,12 +37,16 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _P_SCOPE = {"td", "th", "caption", "button", "table"}
+#: The same by number: what is looked for, and beyond what not.
+_SOUGHT = [({"p"}, _P_SCOPE), *dict.fromkeys((frozenset(a), frozenset(b)) for a, b in CLOSES.values())]
+_SEEKS = {t: _SOUGHT.index((frozenset(a), frozenset(b))) for t, (a, b) in CLOSES.items()}
+_NOWHERE = (0,) * len(_SOUGHT)
 
 
 @dataclass
 class Block:
-    """``text`` with white space collapsed; ``linked``: characters inside links; ``around``: names of
-    the enclosing tags and of words in their classes, ids and roles; ``tag``: the nearest block tag."""
+    """``text`` with white space collapsed; ``linked``: characters inside links; ``around``: what the names of
+    the enclosing tags and of words in their classes, ids and roles stand for; ``tag``: the nearest block tag."""
 
     text: str
     linked: int
@@ -55,7 +60,7 @@ class _Open:
     tag: str
     around: frozenset[str]
     block: str
-    extra: set = field(default_factory=set)
+    near: tuple[int, ...]
 
 
 def _names(tag: str, attributes: str) -> set[str]:
@@ -72,9 +77,25 @@ def _names(tag: str, attributes: str) -> set[str]:
     return found
 
 
-def blocks(page: str) -> Iterator[Block]:
-    """The blocks with text, in page order.  Comments, scripts and styles have none."""
-    stack = [_Open("", frozenset(), "")]
+def _nearest(tag: str, at: int, above: tuple[int, ...]) -> tuple[int, ...]:
+    """Per entry of _SOUGHT the place of the nearest open element that is looked for, 0 if there is none in reach."""
+    if tag not in _MATTERS:
+        return above
+    return tuple(at if tag in tags else 0 if tag in scope else k for (tags, scope), k in zip(_SOUGHT, above))
+
+
+_MATTERS = frozenset().union(*(a | b for a, b in _SOUGHT))
+
+
+def blocks(page: str, stands_for: Callable[[str], str | None] = lambda name: name) -> Iterator[Block]:
+    """The blocks with text, in page order.  Comments, scripts and styles have none.
+
+    ``stands_for`` maps a name to what is kept of it (None: nothing).  With a bounded set of values the work
+    is linear in the page, however deep it is nested: every open element knows the nearest ones that a
+    start tag may close, and an end tag without an open element costs one look.
+    """
+    stack = [_Open("", frozenset(), "", _NOWHERE)]
+    opened_now: Counter[str] = Counter()
     text: list[str] = []
     linked = links = 0
     place = stack[0]
@@ -91,15 +112,12 @@ def blocks(page: str) -> Iterator[Block]:
         nonlocal links
         for o in stack[to:]:
             links -= o.tag == "a"
+            opened_now[o.tag] -= 1
         del stack[to:]
 
-    def up_to(tags, scope) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                drop(i)
-                return
-            if stack[i].tag in scope:
-                return
+    def close(sought: int) -> None:
+        if at_ := stack[-1].near[sought]:
+            drop(at_)
 
     while at < end:
         m = _TOKEN.match(page, at)
@@ -122,33 +140,35 @@ def blocks(page: str) -> Iterator[Block]:
         if tag in BLOCKS and (b := flush()):
             yield b
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    drop(i)
-                    break
+            if opened_now[tag] > 0:
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                drop(i)
             continue
         if tag in ENDS_P:
-            up_to({"p"}, _P_SCOPE)
-        if tag in CLOSES:
-            up_to(*CLOSES[tag])
+            close(0)
+        if tag in _SEEKS:
+            close(_SEEKS[tag])
         attributes = m[3] if m[2] else m[6]
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
             continue
         top = stack[-1]
-        names = _names(tag, attributes)
+        names = {x for x in map(stands_for, _names(tag, attributes)) if x is not None}
         around = top.around if names <= top.around else top.around | names
-        opened = _Open(tag, around, tag if tag in BLOCKS else top.block)
+        opened = _Open(tag, around, tag if tag in BLOCKS else top.block, _nearest(tag, len(stack), top.near))
         if tag in RAW or tag in TEXT_ONLY:
-            close = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
-            inner, at = (page[at : close.start()], close.start()) if close else (page[at:], end)
+            stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+            inner, at = (page[at : stop.start()], stop.start()) if stop else (page[at:], end)
             if tag in TEXT_ONLY:
                 whole = _SPACES.sub(" ", html.unescape(inner)).strip(" ")
                 if whole:
                     yield Block(whole, 0, around, tag, len(stack) + 1)
-            if close:
+            if stop:
                 at = page.find(">", at) + 1 or end
             continue
         stack.append(opened)
+        opened_now[tag] += 1
         links += tag == "a"
     if b := flush():
         yield b

@@ -37,17 +37,15 @@ _TAGS = frozenset(
 )
 
 
+def stands_for(name: str) -> str | None:
+    """The feature that a tag or a word of a class, id or role around a block gives."""
+    if name[0] == "<":
+        return f"in {name}" if name[1:] in _TAGS else None
+    return name if name == "*hidden" else _GROUP.get(name)
+
+
 @lru_cache(maxsize=50_000)
-def _around(names: frozenset[str]) -> tuple[str, ...]:
-    found = set()
-    for n in names:
-        if n[0] == "<":
-            if n[1:] in _TAGS:
-                found.add(f"in {n}")
-        elif n == "*hidden":
-            found.add(n)
-        elif n in _GROUP:
-            found.add(_GROUP[n])
+def _around(found: frozenset[str]) -> tuple[str, ...]:
     return tuple(sorted(found))
 
 
@@ -98,7 +96,7 @@ class Field:
 def marked(page: str) -> tuple[list[Block], list[int]]:
     """The blocks of a labelled page without its marks, and their labels."""
     got, labels = [], []
-    for b in blocks(page):
+    for b in blocks(page, stands_for):
         labels.append(int(MARK in b.text))
         b.text = b.text.replace(MARK, "").strip() or "."
         got.append(b)
@@ -158,7 +156,7 @@ def default_field() -> Field:
 
 
 def main_text(field: Field, page: str) -> str:
-    found = list(blocks(page))
+    found = list(blocks(page, stands_for))
     return "\n".join(b.text for b, keep in zip(found, field.decode(found)) if keep)
 
 

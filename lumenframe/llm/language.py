@@ -58,11 +58,11 @@ def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _parts(text: str) -> Iterator[str]:
-    """A long text in parts that end outside words, where there is such a place."""
-    start = 0
+    """A long text in parts that end outside words, marks included, where there is such a place."""
+    start, word = 0, _letters()[0]
     while len(text) - start > _PART:
         end = start + _PART
-        while end < len(text) and text[end].isalpha():
+        while end < len(text) and word[ord(text[end])]:
             end += 1
         yield text[start:end]
         start = end
@@ -163,17 +163,27 @@ def best_path(scores: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarra
 
 
 def learn(
-    docs: DataFrame, text: str = "text", lang: str = "lang", most: int = 50_000, penalty: float = 8.0, smooth: float = 0.1, key: str = "doc_id"
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    most: int = 50_000,
+    penalty: float = 8.0,
+    smooth: float = 0.1,
+    key: str = "doc_id",
+    most_languages: int = 1000,
 ) -> Languages:
     """Letter-triple frequencies per language from the rows of ``docs`` with a language.
 
     Of a language with more than ``most`` rows a share is taken by a hash of the key, about ``most`` rows
     of whole texts; of others all.  A language has the scripts of at least a hundredth of its words; triples fall in 65,536
-    cells, so the model has at most that many numbers per language.
+    cells, so the model has at most that many numbers per language; more than ``most_languages`` different
+    values of ``lang`` are an error.  Repeated rows count as often as they come.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
-    counts = rows.groupBy("lang").count().collect()  # a row per language, as many as the model has columns
+    counts = rows.groupBy("lang").count().limit(most_languages + 1).collect()
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     large = {r["lang"]: int(1_000_003 * most / r["count"]) for r in counts if r["count"] > most}
     if large:
         share = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])[F.col("lang")]
@@ -196,10 +206,13 @@ def learn(
             )
 
     counted = rows.mapInArrow(run, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    got = counted.toPandas()
-    names = tuple(sorted(got["lang"].unique()))
+    # a row per language, of two arrays with a number per cell that occurs
+    packed = counted.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("c"))
+    got = packed.select("lang", "c.cell", "c.n").orderBy("lang").toArrow()
+    names = tuple(got["lang"].to_pylist())
     table = np.zeros((CELLS + 256, len(names)))
-    table[got["cell"].to_numpy(np.int64), np.searchsorted(np.array(names, object), got["lang"].to_numpy())] = got["n"].to_numpy()
+    for k in range(len(names)):
+        table[got["cell"][k].values.to_numpy(), k] = got["n"][k].values.to_numpy()
     counts, scripts = table[:CELLS], table[CELLS:]
     logs = np.log(counts + smooth) - np.log(counts.sum(axis=0) + smooth * CELLS)
     fits = scripts >= np.maximum(1, 0.01 * scripts.sum(axis=0))
@@ -211,7 +224,9 @@ def identify(docs: DataFrame, model: Languages, key: str = "doc_id", text: str =
     """``key``, ``lang_pred``, ``score`` and ``spans`` of every row.
 
     NULL and empty texts and those without a letter are ``und`` with score 0; so is every text if no
-    language was learned.  A text in a script of no learned language takes the best of all.
+    language was learned.  A text in a script of no learned language takes the best of all.  Equal shares
+    go to the language first by name; repeated rows get equal results; a text of any length is read
+    whole, in parts cut outside words; an empty table gives no row; further columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most 65,536 numbers per language

@@ -1,12 +1,14 @@
 import itertools
+import random
 import re
+import time
 from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenframe.llm import extraction
+from lumenframe.llm import dom, extraction
 from lumenframe.llm.dom import blocks
 from lumenframe.llm.labelled_pages import labelled_pages
 
@@ -92,3 +94,50 @@ def test_odd_pages(spark):
     assert sum(r.text == "One. Two." for r in got) == 2
     assert max(r.n_chars for r in got) == 1_599_999
     assert extraction.extract(df.limit(0)).collect() == []
+
+
+def test_deep_pages_cost_their_length():
+    """Stray end tags below open elements, distinct classes at every level, closings looked for in vain."""
+    pages = {
+        "stray": lambda n: "<b>x" * n + "</i>" * n,
+        "classes": lambda n: "".join(f'<div class="c{k}x">t' for k in range(n)),
+        "below a table": lambda n: "<p><table>" + "<div>t" * n,
+        "items": lambda n: "<ul>" + "<div><li>t" * n,
+        "cells": lambda n: "<table>" + "<section><td>t" * n,
+    }
+    for make in pages.values():
+        took = []
+        for n in (8_000, 32_000):
+            page = make(n)
+            t0 = time.process_time()
+            found = list(blocks(page, extraction.stands_for))
+            took.append(time.process_time() - t0)
+            assert sum(len(b.text) for b in found) == n
+        assert took[1] < 8 * took[0] + 0.5 and took[1] < 6
+
+
+def test_closing_rules_are_those_of_the_walk():
+    """Random pages against a plain walk up the stack."""
+    rng = random.Random(4)
+    tags = ["p", "div", "li", "ul", "td", "tr", "table", "dt", "dd", "dl", "option", "select", "b", "button", "span"]
+    for _ in range(300):
+        page, stack, want = [], [], []
+        for k in range(rng.randrange(40)):
+            tag = rng.choice(tags)
+            if rng.random() < 0.6:
+                page.append(f"<{tag}>")
+                for sought, scope in [({"p"}, dom._P_SCOPE)] * (tag in dom.ENDS_P) + ([dom.CLOSES[tag]] if tag in dom.CLOSES else []):
+                    for i in range(len(stack) - 1, -1, -1):
+                        if stack[i] in sought:
+                            del stack[i:]
+                        if i >= len(stack) or stack[i] in scope:
+                            break
+                stack.append(tag)
+            else:
+                page.append(f"</{tag}>")
+                if tag in stack:
+                    while stack.pop() != tag:
+                        pass
+            page.append(f"w{k}<svg/>")  # ends the block, opens nothing
+            want.append((f"w{k}", frozenset("<" + t for t in stack)))
+        assert [(b.text, b.around) for b in blocks("".join(page))] == [w for w in want]

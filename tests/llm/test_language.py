@@ -75,3 +75,22 @@ def test_nulls_long_texts_and_empty_tables(make_docs):
     assert language.identify(docs.limit(0), language.learn(docs)).collect() == []
     few = language.learn(docs, most=1)
     assert set(few.names) <= {"a", "b"}
+
+
+@pytest.mark.parametrize("word", ["हिन्दी", "தமிழ்நாடு", "नि", "été"])
+def test_long_texts_are_cut_between_words(word):
+    for shift in range(len(word) + 1):
+        text = "x" * shift + " " + (word + " ") * (language._PART // (len(word) + 1) + 50)
+        parts = list(language._parts(text))
+        assert len(parts) > 1 and "".join(parts) == text
+        whole = language._words(text)
+        each = [language._words(p) for p in parts]
+        assert sum(len(e[1]) for e in each) == len(whole[1])
+        assert np.array_equal(np.concatenate([e[0] for e in each]), whole[0])
+
+
+def test_too_many_languages_are_refused(make_docs):
+    docs = make_docs([(i, "some words", "s", f"l{i}") for i in range(30)])
+    assert len(language.learn(docs).names) == 30
+    with pytest.raises(ValueError, match="more than 20"):
+        language.learn(docs, most_languages=20)
