@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.llm.common import before, leaf_digits, stash, word_count
-from lumenframe.plans.ordered import digest, ranked
+from lumenframe.plans.ordered import digest, prior, ranked
 
 _EMPTY = "source_key string, source_size bigint, n bigint, target double"
 
@@ -24,27 +24,24 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), share
 
     Sources are ranked by ``source_key`` and weighted by ``weights`` in turn.  They share ``share``
     times all tokens by weight; no target exceeds ``epochs`` times its source, and what is cut off
-    goes to the others by weight, until none is above.  The common level is the fixed point of one
-    aggregate: each pass caps the sources that the level of the pass before overfills.
+    goes to the others by weight, until none is above: one sort of the ratios of size to weight with running
+    sums gives the common level.
     """
     per = sizes.groupBy("source_key").agg(F.sum("size").alias("source_size"), F.sum("n").alias("n"))
     per = ranked(per, [], F.substring("source_key", 1, 4), ["source_key"], "place")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
     per = stash(per.select("source_key", "source_size", "n", weight.alias("weight")), "mix-sources")
     total = per.agg(F.sum("source_size")).first()[0] or 0
-    budget, level, capped = share * total, 0.0, -1
-    cap = F.col("source_size") * F.lit(float(epochs))
-    while True:
-        full = cap < F.col("weight") * F.lit(level)
-        got = per.agg(
-            F.count(F.when(full, 1)).alias("k"),
-            F.coalesce(F.sum(F.when(full, cap)), F.lit(0.0)).alias("spent"),
-            F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)).alias("free"),
-        ).first()
-        if got.k == capped or not got.free:
-            break
-        capped, level = got.k, (budget - got.spent) / got.free
-    target = F.least(cap, F.col("weight") * F.lit(level)) if capped >= 0 and got.free else cap
+    budget = share * total
+    cap, weight = F.col("source_size") * F.lit(float(epochs)), F.col("weight")
+    ratio = cap / weight
+    # where all sources of a smaller ratio are filled, the others share the rest at one level
+    slot = F.when(ratio > 0, F.floor(F.log2(ratio) * 16)).otherwise(F.lit(-(1 << 20))).cast("long")
+    run = prior(per, [], slot, [ratio, F.col("source_key")], {"spent": ("sum", cap), "used": ("sum", weight)})
+    here = (F.lit(budget) - F.col("spent")) / (F.lit(per.agg(F.sum("weight")).first()[0]) - F.col("used"))
+    level = run.agg(F.min_by(here, F.when(ratio >= here, F.struct(ratio, F.col("source_key"))))).first()[0]
+    # without such a level every source is filled
+    target = cap if level is None else F.least(cap, weight * F.lit(level))
     return per.select("source_key", "source_size", "n", target.alias("target"))
 
 

@@ -87,7 +87,8 @@ FROM e GROUP BY conv_id
 def op4_chat(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    rows = rows.unionByName(spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema))
+    cells = [F.struct(F.lit(-1).alias("conv_id"), F.lit(k).alias("turn"), F.lit(r).alias("role"), F.lit(said).alias("text")) for k, r in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.range(1).select(F.inline(F.array(*cells))))
     got = chat.format_paths(chat.chains(rows))
     return got.select(F.col("tree").alias("conv_id"), *[c.alias(n) for n, c in chat.read_back(F.col("formatted"), F.col("loss")).items()])
 
@@ -101,6 +102,12 @@ _KINDS = (
     ("forge_token", "gh[pousr]_[A-Za-z0-9]{36,}", "true"),
     ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", "true"),
 )
+#: What follows the BEGIN mark of a key without its END mark: up to eight header lines, then base64 lines.
+_LINE = r"(?:[\x20\t\r]*(?:\n|\\[rn]))+[\x20\t]*"
+_BODY = (
+    r"^(" + rf"(?:{_LINE}[A-Za-z0-9-]{{1,40}}:[^\n\\]{{0,200}})?" * 8 + rf"(?:{_LINE}[A-Za-z0-9+/=]{{16,}})+(?:{_LINE}[A-Za-z0-9+/=]{{1,15}})?)"
+    r"[\x20\t\r]*(?:\n|\\[rn]|\z)"
+)
 SECRETS_SQL = (
     "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), u AS ("
     + " UNION ALL ".join(
@@ -110,8 +117,14 @@ SECRETS_SQL = (
         for k, (kind, p, ok) in enumerate(_KINDS)
     )
     + """), w AS (
-  SELECT doc_id, o, kind, ok, length(m) AS n, sum(length(m) + length(g)) OVER (PARTITION BY doc_id, o ORDER BY i) AS stop FROM u),
-f AS (SELECT doc_id, o, kind, (stop - n)::BIGINT AS start, stop::BIGINT AS stop FROM w WHERE ok),
+  SELECT doc_id, o, kind, ok, m, length(m) AS n, sum(length(m) + length(g)) OVER (PARTITION BY doc_id, o ORDER BY i) AS stop FROM u),
+k AS (
+  SELECT doc_id, o, kind, stop - n AS start, stop, CASE WHEN o = 3 THEN substr(t, stop::BIGINT + 1) END AS rest, '-----END ' || substr(m, 12) AS mark
+  FROM w JOIN d USING (doc_id) WHERE ok),
+f AS (
+  SELECT doc_id, o, kind, start::BIGINT AS start, (stop + CASE WHEN o <> 3 THEN 0
+    WHEN strpos(rest, '-----') > 0 AND starts_with(substr(rest, strpos(rest, '-----')), mark) THEN strpos(rest, '-----') - 1 + length(mark)
+    ELSE length(regexp_extract(rest, '""" + _BODY + """', 1)) END)::BIGINT AS stop FROM k),
 a AS (
   SELECT doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS base,
@@ -127,7 +140,8 @@ FROM d LEFT JOIN a USING (doc_id)"""
 def op8_secrets(spark, folder):
     docs = table(spark, folder, "documents")
     # the base rules come first; the further rules are scanned against the ledger they left
-    got = secrets.find(docs, ledger=secrets.record(docs, rules=secrets.BASE))
+    blobs = secrets.blobs_of(docs)
+    got = secrets.find(docs, ledger=secrets.record(blobs, rules=secrets.BASE), blobs=blobs)
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
 
     def count(rank):

@@ -207,7 +207,9 @@ def blocks(flagged: DataFrame) -> DataFrame:
     """The solved blocks of the rows of ``faults``, written."""
     ends = flagged.groupBy("key").agg(F.max("block").alias("end"))
     rows = flagged.join(ends, "key").select("key", "block", (F.col("block") == F.col("end")).alias("final"), "initial", "fault", "rn")
-    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "rn").drop("rn")
+    # rows are small and dear to solve: a number of its own keeps adaptive execution from joining tasks
+    tasks = int(flagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "key", "block").sortWithinPartitions("key", "block", "rn").drop("rn")
     return stash(rows.mapInArrow(_solve, _BLOCK), "solved-blocks")
 
 

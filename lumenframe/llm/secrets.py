@@ -123,10 +123,16 @@ def scan(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return got.withColumn("spans", F.col("spans").cast(f"array<struct<{SPAN}>>"))
 
 
+def blobs_of(versions: DataFrame, text: str = "text") -> DataFrame:
+    """``blob``, ``text`` of every different text of ``versions``, written: what scans of several rule sets read."""
+    rows = versions.select(address(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return stash(rows.groupBy("blob").agg(F.first("text").alias("text")), "blobs")
+
+
 def scan_versions(
-    versions: DataFrame, text: str = "text", ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES
+    blobs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """``(blobs, added)``: per blob of ``versions`` its ``blob`` and ``spans`` under ``rules``, and the
+    """``(found, added)``: per blob of ``blobs_of`` its ``blob`` and ``spans`` under ``rules``, and the
     rows that the scan adds to the ledger (``blob``, ``rule``, ``spans``).
 
     NULL text is the empty blob, which holds nothing.  Equal texts are one blob, however many paths
@@ -134,8 +140,6 @@ def scan_versions(
     earlier ``added`` rows; rows of other rules or versions stay in it unused.
     """
     names = [r.name for r in rules]
-    blobs = versions.select(address(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     if ledger is None:
         fresh = scan(blobs.withColumn("seen", F.expr("CAST(array() AS array<string>)")), rules)
         known = None
@@ -169,17 +173,24 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def record(versions: DataFrame, text: str = "text", ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """What a scan of ``versions`` under ``rules`` adds to ``ledger``, written as a table below the shared folder."""
-    _, added = scan_versions(versions, text, ledger, rules)
+def record(blobs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """What a scan of ``blobs`` under ``rules`` adds to ``ledger``, written as a table below the shared folder."""
+    _, added = scan_versions(blobs, ledger, rules)
     return stash(added, "ledger")
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, ledger: DataFrame | None = None) -> DataFrame:
+def find(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, ledger: DataFrame | None = None, blobs: DataFrame | None = None
+) -> DataFrame:
     """``key`` and ``spans`` of every row; what ``ledger`` holds is not scanned again, the rest once per
-    blob, and is joined back to all paths."""
-    blobs, _ = scan_versions(docs.select(text), text, ledger, rules)
-    return docs.select(key, address(F.col(text)).alias("blob")).join(blobs, "blob").select(key, "spans")
+    blob, and is joined back to all paths.
+
+    NULL and empty texts have no span; a text of any length is read whole; spans that begin together are
+    listed by the place of their rule; repeated rows and keys come back as often as they are there; an
+    empty table gives no row; further columns, whatever their names, are not read.
+    """
+    found, _ = scan_versions(blobs_of(docs, text) if blobs is None else blobs, ledger, rules)
+    return docs.select(key, address(F.col(text)).alias("__blob")).join(found.withColumnRenamed("blob", "__blob"), "__blob").select(key, "spans")
 
 
 def redact(
@@ -189,14 +200,15 @@ def redact(
     mask: str = "[SECRET]",
     rules: Sequence[Rule] = RULES,
     ledger: DataFrame | None = None,
+    blobs: DataFrame | None = None,
 ) -> DataFrame:
     """``columns`` of every row, each maximal stretch of overlapping spans in ``text`` replaced by ``mask``.
 
     NULL text stays NULL.  What ``ledger`` holds is not scanned again.  The parts between are cut by byte positions, so a long text with many
     spans costs its length.
     """
-    blobs, _ = scan_versions(docs.select(text), text, ledger, rules)
-    blobs = blobs.where(F.size("spans") > 0)
+    found, _ = scan_versions(blobs_of(docs, text) if blobs is None else blobs, ledger, rules)
+    found = found.where(F.size("spans") > 0)
 
     def kept(spans: Column) -> Column:
         """Stretches between the merged spans: a stretch starts where all spans so far have ended."""
@@ -224,6 +236,6 @@ def redact(
         ),
     )
     rows = docs.select(F.struct(*columns).alias("doc"), text, address(F.col(text)).alias("blob"))
-    rows = rows.join(blobs, "blob", "left")
+    rows = rows.join(found, "blob", "left")
     clean = F.when(F.col("spans").isNull(), F.col(text)).otherwise(F.array_join(cut, mask))
     return rows.select(F.col("doc").withField(text, clean).alias("doc")).select("doc.*")

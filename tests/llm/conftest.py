@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 from lumenframe.llm.common import DOCUMENT  # noqa: F401
@@ -14,3 +15,22 @@ def make_docs(spark):
         return spark.createDataFrame(full, DOCS)
 
     return make
+
+
+@pytest.fixture
+def against_twin(spark, tmp_path):
+    """Runs a query over planted documents and holds its rows against those of its SQL twin."""
+    from lumenframe.llm import queries
+
+    def run(name, docs):
+        docs.write.parquet(str(tmp_path / "documents.parquet"))
+        df = queries.QUERIES[name](spark, str(tmp_path))
+        got = df.collect()
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        cur = con.execute(queries.ORACLES[name])
+        at = [[d[0] for d in cur.description].index(c) for c in df.columns]
+        assert sorted(map(str, map(tuple, got))) == sorted(str(tuple(r[i] for i in at)) for r in cur.fetchall())
+        return got
+
+    return run

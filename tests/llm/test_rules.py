@@ -136,5 +136,22 @@ def test_hot_line_is_split(make_docs):
     assert {r.removed_words for r in rules.removals(known).collect()} == {5}
 
 
+def test_twin_states_the_method(make_docs, against_twin):
+    """Layouts on which counts of neighbours, of lengths or of near copies would say something else."""
+    foot = [" ".join(f"f{k}x{j}" for j in range(20)) for k in range(6)]
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    # one layout of eight lines in 59 documents; near copies; 20 and 21 documents; copies of one
+    rows = [(i, "\n".join([word() + " " + word(), *foot, word()]), "layout") for i in range(59)]
+    rows += [(1000 + i, "\n".join([*(f"n{k} " * 12 for k in range(9)), word()]), "near") for i in range(30)]
+    for host, n in (("at", 20), ("above", 21)):
+        rows += [(2000 + 100 * n + i, "\n".join([" ".join(word() for _ in range(50)), "The  Same LINE" if i % 2 else "the same line"]), host) for i in range(n)]
+    rows += [(9000 + i, "copy " * 60 + "\nagain and again", "copies") for i in range(40)] + [(9100, None, None), (9101, "", "near")]
+    got = {r.doc_id: r for r in against_twin("op9_rules", make_docs(rows))}
+    assert {got[i].removed_words for i in range(59)} == {120} and not any(got[i].kept for i in range(59))
+    assert {got[r[0]].removed_words for r in rows if r[2] == "at"} == {0} and {got[r[0]].removed_words for r in rows if r[2] == "above"} == {3}
+    assert {got[9000 + i].removed_words for i in range(40)} == {0} and {got[1000 + i].removed_words for i in range(30)} == {108}
+
+
 def test_empty_table(make_docs):
     assert rules.judge(make_docs([]), ["doc_id"]).collect() == []

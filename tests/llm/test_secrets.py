@@ -9,19 +9,50 @@ from lumenframe.llm import secrets
 ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
+BEGIN = re.compile(r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----")
+BREAK = re.compile(r"(?:[\x20\t\r]*(?:\n|\\[rn]))+[\x20\t]*")
+
+
+def key_end(t, start, end):
+    """The END mark of the same label if that is the next mark, else the last base64 line, walked line by line."""
+    mark = "-----END " + t[start + 11 : end]
+    p = t.find("-----", end)
+    if p >= 0 and t.startswith(mark, p):
+        return p + len(mark)
+    at, lines = end, 0
+    for _ in range(8):
+        b = BREAK.match(t, at)
+        h = b and re.compile(r"[A-Za-z0-9-]{1,40}:[^\n\\]{0,200}").match(t, b.end())
+        if not h:
+            break
+        at = h.end()
+    while b := BREAK.match(t, at):
+        run = re.compile(r"[A-Za-z0-9+/=]*").match(t, b.end())
+        n = run.end() - run.start()
+        if not n or not re.compile(r"[\x20\t\r]*(?:\n|\\[rn]|\Z)").match(t, run.end()) or (n < 16 and not lines):
+            break
+        at, lines = run.end(), lines + 1
+        if n < 16:
+            break
+    return at if lines else end
+
+
 def brute(t):
     t = t or ""
     out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
     out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
     out += [(m.start(), 2, m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
-    for k, p in ((3, r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----"), (4, r"gh[pousr]_[A-Za-z0-9]{36,}")):
-        out += [(m.start(), k, m.end(), secrets.RULES[k].kind) for m in re.finditer(p, t)]
+    out += [(m.start(), 4, m.end(), "forge_token") for m in re.finditer(r"gh[pousr]_[A-Za-z0-9]{36,}", t)]
+    at = 0
+    while m := BEGIN.search(t, at):
+        at = key_end(t, m.start(), m.end())
+        out.append((m.start(), 3, at, "private_key"))
     return sorted(out)
 
 
 def texts():
     rng = random.Random(4)
-    parts = ["password=", "Token : ", "api_key", "=", " ", "'", "token", "AKIA", "ABCDEF0123456789", "deadbeefcafe", "é", "🙂", "\n", "xyz", "ghp_", "a" * 12, "B7" * 9, "-----BEGIN RSA PRIVATE KEY-----", "é\t"]
+    parts = ["password=", "Token : ", "api_key", "=", " ", "'", "token", "AKIA", "ABCDEF0123456789", "deadbeefcafe", "é", "🙂", "\n", "xyz", "ghp_", "a" * 12, "B7" * 9, "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\nQ+/" + "Z" * 17, "\nK: v", "\\n", "é\t"]
     got = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(250)]
     return got + ["", None, "password=token : abcdefgh", "f" * 24, "f" * 23, got[0], "x 🙂 " * 3000 + "secret = 'abcdef1' " * 400]
 
@@ -70,18 +101,18 @@ def test_private_keys_go_whole(make_docs):
 
 def test_only_unseen_pairs_are_scanned(spark, docs):
     first = docs.where("doc_id < 100")
-    _, added = secrets.scan_versions(first, rules=secrets.RULES[:3])
+    _, added = secrets.scan_versions(secrets.blobs_of(first), rules=secrets.RULES[:3])
     ledger = spark.createDataFrame(added.collect(), secrets.LEDGER)
     assert ledger.count() == 3 * len({texts()[i] or "" for i in range(100)})
-    blobs, more = secrets.scan_versions(docs, ledger=ledger, rules=secrets.RULES)
-    every, once = secrets.scan_versions(docs)
+    blobs, more = secrets.scan_versions(secrets.blobs_of(docs), ledger=ledger, rules=secrets.RULES)
+    every, once = secrets.scan_versions(secrets.blobs_of(docs))
     key = lambda r: bytes(r.blob)
     assert sorted(blobs.collect(), key=key) == sorted(every.collect(), key=key)
     pairs = lambda df: {(bytes(r.blob), r.rule) for r in df.collect()}
     assert pairs(more) | pairs(ledger) == pairs(once) and not pairs(more) & pairs(ledger)
     # a new version of a rule is scanned again, the others are not
     newer = (*secrets.RULES[:2], secrets.Rule("hex", 2, r"[0-9a-f]{30,}"))
-    assert {r.rule for r in secrets.scan_versions(first, ledger=ledger, rules=newer)[1].collect()} == {"hex@2"}
+    assert {r.rule for r in secrets.scan_versions(secrets.blobs_of(first), ledger=ledger, rules=newer)[1].collect()} == {"hex@2"}
 
 
 def test_queries_take_spans_from_a_ledger(spark, docs, monkeypatch):
@@ -99,6 +130,19 @@ def test_queries_take_spans_from_a_ledger(spark, docs, monkeypatch):
     assert masked == {r.doc_id: r.text for r in secrets.redact(docs, ["doc_id", "text"]).collect()}
 
 
+def test_twin_states_the_spans_of_planted_keys(spark, make_docs, against_twin):
+    begin, end, b64 = "-----BEGIN EC PRIVATE KEY-----", "-----END EC PRIVATE KEY-----", ["Ab+/" * 16, "Cd12" * 16, "Ef=="]
+    keys = [
+        "\n".join([begin, *b64, end]), "\n".join([begin, *b64]) + "\nand prose", "\\n".join([begin, *b64]), "\r\n".join([begin, "Proc-Type: 4", "", *b64, "end"]),
+        "\n".join([begin, *b64, "-----END RSA PRIVATE KEY-----"]), begin + " alone", "\n".join([begin, b64[0] + " x"]), f"{begin}\n{begin}\n{b64[0]}",
+    ]
+    rows = [(i, f"é {k}\ntoken=abcdefgh") for i, k in enumerate(keys)] + [(100 + i, t) for i, t in enumerate(texts())]
+    got = {r.doc_id: r.spans for r in against_twin("op8_secrets", make_docs(rows))}
+    want = {i: ",".join(f"{k}:{a}:{b}" for a, _, b, k in brute(t)) for i, t in rows}
+    assert got == want and all("private_key:2:" in got[i] for i in range(len(keys)))
+    assert sum("private_key:2:32" in got[i] for i in range(len(keys))) == 3
+
+
 def test_empty_table(make_docs):
     assert secrets.find(make_docs([])).collect() == []
     assert secrets.redact(make_docs([]), ["doc_id", "text"]).collect() == []
