@@ -33,8 +33,9 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked; the base rules are scanned first, the others against their ledger."""
-    ledger = secrets.record(docs, rules=secrets.BASE)
-    got = secrets.redact(docs.withColumn("before", F.col("text")), (*DOCUMENT, "before"), ledger=ledger)
+    blobs = secrets.blobs_of(docs)
+    ledger = secrets.record(blobs, rules=secrets.BASE)
+    got = secrets.redact(docs.withColumn("before", F.col("text")), (*DOCUMENT, "before"), ledger=ledger, blobs=blobs)
     return _with_length(got, F.col("text") != F.col("before"))
 
 
