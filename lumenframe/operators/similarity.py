@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenframe.functions import vectors as V
+from lumenframe.plans.lineage import stored
 from lumenframe.plans.ordered import total_of, with_total
 
 BANK_ROWS = 32_768
@@ -33,9 +34,8 @@ def topk_mean(queries: DataFrame, bank: DataFrame, key: str, vector: str, k: int
     """(key, score): mean of the ``k`` largest cosines to a bank; an empty bank gives 0.
 
     A bank whose row count and width were checked to be small is sent to every executor once
-    and scored in Arrow batches.  A larger one is cut in blocks that meet chunks of the
-    queries; every meeting returns only its best ``k`` values, which are then merged.  Either
-    way each query row gives one row, and the bank needs nothing but its vectors.
+    and scored in Arrow batches.  A larger one is searched by cells (``pruned_topk``), with the
+    same result.  Either way each query row gives one row, and the bank needs nothing but its vectors.
     """
     head = bank.select(vector).limit(bank_rows + 1)
     n, width = head.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
@@ -53,35 +53,135 @@ def topk_mean(queries: DataFrame, bank: DataFrame, key: str, vector: str, k: int
 
         schema = f"{key} {queries.schema[key].dataType.simpleString()}, score double"
         return queries.select(key, vector).mapInPandas(score, schema)
-    return _blocked(queries, bank, key, vector, k, bank_rows)
+    best = pruned_topk(queries, bank, key, vector, k, bank_rows)
+    return best.select(key, (F.aggregate("best", F.lit(0.0), lambda s, v: s + v) / F.size("best")).alias("score"))
 
 
-def _blocked(queries: DataFrame, bank: DataFrame, key: str, vector: str, k: int, block_rows: int) -> DataFrame:
-    n_bank = bank.count()
-    blocks = -(-n_bank // block_rows)
-    chunks = max(1, -(-queries.count() // CHUNK_ROWS))
-    place = F.monotonically_increasing_id().alias("__row")
+class _Pivots:
+    """Directions that part a bank in cells, and what is known of each cell: rows, least and largest angle.
 
-    def numbered(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("__row"), F.lit(n_own)).cast("int")
-        spread = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        return df.withColumn(own, mine).withColumn(other, spread)
+    The last cell holds vectors of length zero, of which angles say nothing.
+    """
+
+    def __init__(self, axes: np.ndarray) -> None:
+        self.axes = axes
+        n = len(axes) + 1
+        self.rows, self.low, self.high = np.zeros(n, np.int64), np.zeros(n), np.full(n, np.pi)
+
+    def angles(self, units: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(units @ self.axes.T, -1, 1))
+
+    def place(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each vector and its angle there."""
+        angles = self.angles(units)
+        cell = angles.argmin(axis=1)
+        zero = ~units.any(axis=1)
+        return np.where(zero, len(self.axes), cell), angles[np.arange(len(cell)), cell]
+
+    def bounds(self, units: np.ndarray) -> np.ndarray:
+        """The largest cosine that a vector of each cell can have (empty cells: -2)."""
+        angles = self.angles(units)
+        apart = np.maximum(0, np.maximum(angles - self.high[:-1], self.low[:-1] - angles))
+        got = np.column_stack([np.cos(np.minimum(apart, np.pi)), np.ones(len(units))])
+        return np.where(self.rows > 0, got, -2.0)
+
+    def first(self, units: np.ndarray, k: int) -> list[list[int]]:
+        """The nearest cells that hold ``k`` rows together."""
+        out = []
+        for row in np.argsort(-self.bounds(units), axis=1, kind="stable"):
+            row = row[self.rows[row] > 0]
+            need = int(np.searchsorted(np.cumsum(self.rows[row]), k)) + 1
+            out.append(row[:need].tolist())
+        return out
+
+
+def _meet(asks: DataFrame, cells: DataFrame, pivots: _Pivots, k: int, block_rows: int) -> DataFrame:
+    """``__row``, ``best`` (the ``k`` largest cosines of a meeting), ``seen`` (rows met): every query of ``asks`` against the
+    bank rows of its cell, blocks of both sides in a task."""
+    asked = {r.cell: r.n for r in asks.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per cell
 
-    q = numbered(queries.select(key, vector, place), "chunk", chunks, "block", blocks)
-    b = numbered(bank.select(vector, place), "block", blocks, "chunk", chunks)
+    def count(numbers: dict, size: int):
+        parts = {int(c): -(-int(n) // size) for c, n in numbers.items() if n}
+        return F.coalesce(F.create_map(*[F.lit(x) for p in parts.items() for x in p])[F.col("cell")], F.lit(1)) if parts else F.lit(1)
+
+    blocks, chunks = count(dict(enumerate(pivots.rows.tolist())), block_rows), count(asked, CHUNK_ROWS)
+
+    def spread(df: DataFrame, mine: str, own, other: str, others, seed: str) -> DataFrame:
+        df = df.withColumn(mine, F.pmod(F.xxhash64(seed), own).cast("int"))
+        return df.withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
+
+    q = spread(asks, "chunk", chunks, "block", blocks, "__row").groupBy("cell", "block", "chunk")
+    b = spread(cells, "block", blocks, "chunk", chunks, "vec").groupBy("cell", "block", "chunk")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"__row": [], key: [], "best": []})
-        top = _best(_units(left[vector]), _units(right[vector]), k)
-        again = left[["__row", key]].loc[left.index.repeat(top.shape[1])].reset_index(drop=True)
-        return again.assign(best=top.ravel())
-
-    schema = f"__row bigint, {key} {queries.schema[key].dataType.simpleString()}, best double"
-    parts = q.groupBy("chunk", "block").cogroup(b.groupBy("chunk", "block")).applyInPandas(meet, schema)
-    best = parts.groupBy("__row").agg(F.first(key).alias(key), F.sort_array(F.collect_list("best"), asc=False).alias("b"))  # k values per block
-    top = F.slice("b", 1, k)
-    return best.select(key, (F.aggregate(top, F.lit(0.0), lambda s, v: s + v) / F.size(top)).alias("score"))
+            return pd.DataFrame({"__row": pd.Series(dtype="int64"), "best": pd.Series(dtype=object), "seen": pd.Series(dtype="int64")})
+        top = _best(np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy()), k)
+        return pd.DataFrame({"__row": left["__row"], "best": list(top), "seen": len(right)})
+
+    return q.cogroup(b).applyInPandas(meet, "__row bigint, best array<double>, seen bigint")
+
+
+def pruned_topk(queries: DataFrame, bank: DataFrame, key: str, vector: str, k: int, block_rows: int, pivots: int = 256) -> DataFrame:
+    """``key``, ``best`` (the ``k`` largest cosines to the bank, falling), ``seen`` (bank rows compared), exact.
+
+    The bank is dealt to the nearest of at most ``pivots`` of its own rows, taken by a hash; a cell knows
+    the angles of its rows to its pivot.  A query first meets the nearest cells that hold ``k`` rows, then
+    only those cells that could hold a cosine above its ``k``-th so far: an angle to a row is never
+    less than the difference of the angles to the pivot.
+    """
+    spark = queries.sparkSession
+    some = bank.select(vector).where(F.col(vector).isNotNull()).orderBy(F.xxhash64(vector)).limit(pivots).toPandas()
+    axes = _units(some[vector])
+    known = _Pivots(axes[axes.any(axis=1)] if axes.any() else np.eye(1, axes.shape[1]))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                units = _units(b[vector])
+                cell, angle = known.place(units)
+                yield pd.DataFrame({"cell": cell, "angle": angle, "vec": list(units)})
+
+    cells = stored(bank.select(vector).mapInPandas(deal, "cell int, angle double, vec array<double>"), "bank-cells")
+    last = len(known.axes)
+    for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high")).collect():
+        known.rows[r.cell] = r.n
+        if r.cell != last:
+            known.low[r.cell], known.high[r.cell] = r.low, r.high
+    cells = cells.drop("angle")
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                units = _units(b[vector])
+                yield pd.DataFrame({"__row": b["__row"], key: b[key], "vec": list(units), "cells": known.first(units, k)})
+
+    kind = queries.schema[key].dataType.simpleString()
+    rows = queries.select(F.monotonically_increasing_id().alias("__row"), key, vector)
+    rows = stored(rows.mapInPandas(ask, f"__row bigint, `{key}` {kind}, vec array<double>, cells array<int>"), "nearest-cells")
+    near = _meet(rows.select("__row", "vec", F.explode("cells").alias("cell")), cells, known, k, block_rows)
+
+    def merged(parts: DataFrame) -> DataFrame:
+        best = F.slice(F.sort_array(F.flatten(F.collect_list("best")), asc=False), 1, k)  # k values per meeting
+        return parts.groupBy("__row").agg(best.alias("best"), F.sum("seen").alias("seen"))
+
+    near = stored(merged(near), "nearest-best")
+
+    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                units = np.stack(b["vec"].to_numpy())
+                least = np.array([x[-1] if len(x) >= k else -2.0 for x in b["best"]])
+                open_ = (known.bounds(units) + 1e-9 >= least[:, None]) & (known.rows > 0)
+                for i, done in enumerate(b["cells"]):
+                    open_[i, list(done)] = False
+                at, cell = np.nonzero(open_)
+                yield pd.DataFrame({"__row": b["__row"].to_numpy()[at], "cell": cell, "vec": pd.Series(list(units[at]), dtype=object)})
+
+    asks = rows.join(near, "__row").select("__row", "vec", "cells", "best").mapInPandas(rest, "__row bigint, cell int, vec array<double>")
+    far = _meet(stored(asks, "farther-cells"), cells, known, k, block_rows)
+    both = merged(far.unionByName(near.select("__row", "best", "seen")))
+    return rows.select("__row", key).join(both, "__row").drop("__row")
 
 
 def knn_score(

@@ -268,3 +268,27 @@ def test_large_groups_are_cut_in_components(spark):
     df = spark.createDataFrame(rows, "g int, r int, p string, t string")
     whole = sorted(map(str, greedy_match(df.where("g IS NOT NULL"), ["g"], "r", "p", "t").collect()))
     assert whole == sorted(map(str, greedy_match(df.where("g IS NOT NULL"), ["g"], "r", "p", "t", small=20).collect()))
+
+
+def test_large_banks_are_searched_by_cells(spark):
+    """Clusters of directions: exact top values, and only a part of all pairs is compared."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((40, 12))
+    vec = lambda n: (centres[rng.integers(0, 40, n)] + 0.15 * rng.standard_normal((n, 12))).tolist()
+    bank_rows = vec(4000) + [[0.0] * 12] * 3 + [centres[0].tolist()] * 200
+    rows = vec(300) + [[0.0] * 12, (-centres[1]).tolist()]
+    bank = spark.createDataFrame([(v,) for v in bank_rows], "vec array<double>")
+    queries = spark.createDataFrame(list(enumerate(rows)), "id int, vec array<double>")
+    got = {r.id: (r.best, r.seen) for r in Y.pruned_topk(queries, bank, "id", "vec", 5, 300, pivots=64).collect()}
+
+    def units(m):
+        m = np.array(m)
+        n = np.linalg.norm(m, axis=1, keepdims=True)
+        return m / np.where(n == 0, 1, n)
+
+    want = -np.sort(-(units(rows) @ units(bank_rows).T), axis=1)[:, :5]
+    assert len(got) == len(rows)
+    assert all(np.allclose(got[i][0], want[i], atol=1e-12) for i in range(len(rows)))
+    share = sum(s for _, s in got.values()) / (len(rows) * len(bank_rows))
+    print(f"share of pairs compared: {share:.3f}")
+    assert share < 0.3
