@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, GroupedData
 from pyspark.sql import functions as F
@@ -360,6 +360,23 @@ def method_timing(df: DataFrame, method: str, ms: str, ok: Column) -> DataFrame:
     return base.join(q.withColumn("p95_ms", F.round("p95_ms", 6)), method, "left")
 
 
+def timing_sketches(df: DataFrame, keys: Sequence[str], ms: str, k: int = 200) -> DataFrame:
+    """``keys``, ``n``, ``sketch``: a mergeable sketch of the times of each group (quantiles, KLL of size ``k``).
+
+    A group is for instance a method and an hour; the table is kept, and any span is merged from it
+    without reading the times again.  Ranks are off by less than 1.65 % of the rows at ``k`` = 200 (with
+    99 % confidence), not at all in groups of fewer than ``k`` rows.
+    """
+    good = df.where(F.col(ms).isNotNull())
+    return good.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(ms).cast("double"), k).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str], probs: Mapping[str, float], k: int = 200) -> DataFrame:
+    """``keys``, ``n`` and a quantile per name in ``probs`` over all sketches of a group."""
+    got = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("__s"))
+    return got.select(*keys, "n", *[F.kll_sketch_get_quantile_double("__s", F.lit(p)).alias(name) for name, p in probs.items()])
+
+
 def run_rollup(df: DataFrame, job: str, counters: Sequence[str]) -> DataFrame:
     """Counters per job and in total (``is_total`` marks the grand total)."""
     got = df.rollup(job).agg(F.grouping_id().alias("g"), *[F.sum(c).alias(c) for c in counters])

@@ -27,7 +27,8 @@ def threshold_mask(plane: DataFrame, value: str, at_least: int = 0, strict: bool
 
 def to_runs(mask: DataFrame) -> DataFrame:
     w = Window.partitionBy("image_id", "y").orderBy("x")
-    rows = mask.select(*KEY).withColumn("__g", F.col("x") - F.row_number().over(w))
+    # a repeated pixel has the rank of its twin
+    rows = mask.select(*KEY).withColumn("__g", F.col("x") - F.dense_rank().over(w))
     return rows.groupBy("image_id", "y", "__g").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("__g")
 
 
@@ -252,32 +253,63 @@ def resize_nearest(mask: DataFrame, dims: DataFrame, w: Column | int, h: Column
     return to_pixels(rows)
 
 
+def overlay(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``image_id``, ``y``, ``x0``, ``x1``, ``a``, ``b``: stretches of each row and which of two masks of runs cover them.
+
+    A run is an event where it begins and one behind its end; between two events nothing changes.  No run
+    is expanded to pixels.
+    """
+
+    def events(runs: DataFrame, da: int, db: int) -> DataFrame:
+        def at(x: Column, sign: int) -> Column:
+            return F.struct(x.alias("x"), F.lit(sign * da).alias("da"), F.lit(sign * db).alias("db"))
+
+        return runs.select("image_id", "y", F.inline(F.array(at(F.col("x0"), 1), at(F.col("x1") + 1, -1))))
+
+    both = events(a, 1, 0).unionByName(events(b, 0, 1))
+    both = both.groupBy("image_id", "y", "x").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
+    w = Window.partitionBy("image_id", "y").orderBy("x")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = both.select(
+        "image_id", "y", F.col("x").alias("x0"), (F.lead("x").over(w) - 1).alias("x1"),
+        (F.sum("da").over(upto) > 0).alias("a"), (F.sum("db").over(upto) > 0).alias("b"),
+    )
+    return parts.where("(a OR b) AND x1 IS NOT NULL")
+
+
+def combine_runs(a: DataFrame, b: DataFrame, mode: str) -> DataFrame:
+    """``and``, ``or``, ``only_a`` or ``only_b`` of two masks of runs, as merged runs."""
+    if mode in ("only_a", "only_b"):
+        return merge_runs((a if mode == "only_a" else b).select("image_id", "y", "x0", "x1"))
+    parts = overlay(a, b)
+    return merge_runs((parts.where("a AND b") if mode == "and" else parts).select("image_id", "y", "x0", "x1"))
+
+
 def combine_masks(a: DataFrame, b: DataFrame, mode: str) -> DataFrame:
     """``and``, ``or``, ``only_a`` or ``only_b`` of two masks."""
-    if mode == "only_a":
-        return a.select(*KEY).distinct()
-    if mode == "only_b":
-        return b.select(*KEY).distinct()
-    if mode == "or":
-        return a.select(*KEY).unionByName(b.select(*KEY)).distinct()
-    return a.select(*KEY).intersect(b.select(*KEY))
+    if mode in ("only_a", "only_b"):
+        return (a if mode == "only_a" else b).select(*KEY).distinct()
+    return to_pixels(combine_runs(to_runs(a), to_runs(b), mode)).select(*KEY)
 
 
 # ---- measures -------------------------------------------------------------------------------------
 
 
-def mask_iou(truth: DataFrame, pred: DataFrame, images: DataFrame) -> DataFrame:
-    """IoU of every image listed; both empty is 1."""
-    both = truth.select(*KEY, F.lit(1).alias("t"), F.lit(0).alias("p")).unionByName(
-        pred.select(*KEY, F.lit(0).alias("t"), F.lit(1).alias("p"))
-    )
-    px = both.groupBy(*KEY).agg(F.max("t").alias("t"), F.max("p").alias("p"))
-    sums = px.groupBy("image_id").agg(F.sum(F.col("t") * F.col("p")).alias("inter"), F.count(F.lit(1)).alias("union"))
+def run_iou(truth: DataFrame, pred: DataFrame, images: DataFrame) -> DataFrame:
+    """IoU of every image listed, of masks of runs; both empty is 1."""
+    size = F.col("x1") - F.col("x0") + 1
+    parts = overlay(truth, pred)
+    sums = parts.groupBy("image_id").agg(F.sum(F.when(F.col("a") & F.col("b"), size)).alias("inter"), F.sum(size).alias("union"))
     got = images.join(sums, "image_id", "left")
     inter, union = F.coalesce("inter", F.lit(0)), F.coalesce("union", F.lit(0))
     return got.withColumn("iou", F.when(union == 0, 1.0).otherwise(inter / union)).drop("inter", "union")
 
 
+def mask_iou(truth: DataFrame, pred: DataFrame, images: DataFrame) -> DataFrame:
+    """IoU of every image listed; both empty is 1."""
+    return run_iou(to_runs(truth), to_runs(pred), images)
+
+
 def truth_against_predictions(truth_images: DataFrame, truth: DataFrame, rows: DataFrame, masks: DataFrame) -> DataFrame:
     """IoU per truth image and model version.
 
@@ -286,11 +318,12 @@ def truth_against_predictions(truth_images: DataFrame, truth: DataFrame, rows: D
     """
     scored = rows.join(truth_images, "image_id", "left_semi")
     key = F.struct("image_id", "version")
-    t = truth.join(scored.select("image_id", "version"), "image_id")
-    t = t.select(key.alias("image_id"), "x", "y")
+    # the runs of a truth mask, not its pixels, meet the versions
+    t = to_runs(truth).join(scored.select("image_id", "version"), "image_id")
+    t = t.select(key.alias("image_id"), "y", "x0", "x1")
     p = masks.join(scored.where("has_mask").select("image_id", "version"), ["image_id", "version"], "left_semi")
-    p = p.select(key.alias("image_id"), "x", "y")
-    got = mask_iou(t, p, scored.select(key.alias("image_id")))
+    p = to_runs(p.select(key.alias("image_id"), "x", "y"))
+    got = run_iou(t, p, scored.select(key.alias("image_id")))
     return got.select("image_id.image_id", "image_id.version", "iou")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.operators import evaluation as E
 from lumenframe.operators import joins as J
+from lumenframe.plans.lineage import stored
 from lumenframe.queries import views
 from lumenframe.queries.base import query
 from lumenframe.queries.joins import _LABELS, ANGLES_SQL, labelled
@@ -307,6 +308,34 @@ def _(spark, sf):
     return E.method_timing(t, "method", "ms", c("ok"))
 
 
+@query(
+    "a32_timing_sketches",
+    """, t AS (SELECT event_type AS method, t_us // 3600000000 AS hour, CAST(round(value * 100) AS BIGINT) AS ms FROM ev WHERE k % 10 <> 0),
+      h AS (SELECT method, hour, count(*) AS n FROM t GROUP BY ALL)
+      SELECT method, count(*) AS hours, CAST(sum(n) AS BIGINT) AS n, true AS p50_close, true AS p95_close FROM h GROUP BY method""",
+    "ev",
+)
+def _(spark, sf):
+    # a sketch per method and hour, merged per method; the exact ranks of what the merged sketch says
+    t = views.ev(spark, sf).where("k % 10 <> 0").select(
+        c("event_type").alias("method"), F.floor(c("t_us") / 3_600_000_000).alias("hour"), F.round(c("value") * 100).cast("long").alias("ms")
+    )
+    hours = stored(E.timing_sketches(t, ["method", "hour"], "ms"), "timing-sketches")
+    said = E.merged_quantiles(hours, ["method"], {"p50": 0.5, "p95": 0.95})
+    said = said.join(hours.groupBy("method").agg(F.count(F.lit(1)).alias("hours")), "method")
+    ranks = t.join(said, "method").groupBy("method").agg(
+        F.max("hours").alias("hours"),
+        F.max("n").alias("n"),
+        *[(F.count_if(c("ms") < c(q)) / F.max("n")).alias(f"{q}_below") for q in ("p50", "p95")],
+        *[(F.count_if(c("ms") <= c(q)) / F.max("n")).alias(f"{q}_upto") for q in ("p50", "p95")],
+    )
+
+    def close(q, p):
+        return ((c(f"{q}_below") <= p + 0.03) & (c(f"{q}_upto") >= p - 0.03)).alias(f"{q}_close")
+
+    return ranks.select("method", "hours", "n", close("p50", 0.5), close("p95", 0.95))
+
+
 @query(
     "a33_run_rollup",
     """, i AS (SELECT job_id, 1 AS items, CAST(vendor_path IS NOT NULL AS INT) AS matched, CAST(image_key IS NOT NULL AS INT) AS posted, CAST(output_path IS NULL AS INT) AS failures FROM reviews)

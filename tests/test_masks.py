@@ -138,3 +138,43 @@ def test_detector_reason_is_cut_like_the_whole_list(spark):
     order = sorted(rows, key=lambda r: (-r[7], r[2]))
     assert got[1].reason == ", ".join(f"x {r[7]:.2f}" for r in order)[:480]
     assert (got[2].positive, got[2].confidence, got[2].reason) == (False, None, "")
+
+
+def test_overlays_of_runs_equal_sets_of_pixels(spark):
+    rng = random.Random(12)
+
+    def mask():
+        return [(i, x0, y, min(29, x0 + rng.randrange(6))) for i in range(3) for y in range(4) for x0 in rng.sample(range(30), rng.randrange(5))]
+
+    def pixels(runs):
+        return {(i, x, y) for i, x0, y, x1 in runs for x in range(x0, x1 + 1)}
+
+    for _ in range(4):
+        a, b = mask(), mask()
+        df = [spark.createDataFrame(m or [(9, 0, 0, -1)], "image_id int, x0 int, y int, x1 int").where("x1 >= x0") for m in (a, b)]
+        pa, pb = pixels(a), pixels(b)
+        for mode, want in (("and", pa & pb), ("or", pa | pb), ("only_a", pa), ("only_b", pb)):
+            got = M.combine_runs(*df, mode)
+            assert {tuple(r) for r in M.to_pixels(got).select("image_id", "x", "y").collect()} == want
+            # merged: a row never has two runs that touch
+            assert got.count() == M.to_runs(M.to_pixels(got)).count()
+        images = spark.range(4).select(F.col("id").cast("int").alias("image_id"))
+        iou = {r.image_id: r.iou for r in M.run_iou(*df, images).collect()}
+        for i in range(4):
+            x, y = {p for p in pa if p[0] == i}, {p for p in pb if p[0] == i}
+            assert iou[i] == (len(x & y) / len(x | y) if x | y else 1.0)
+
+
+def test_repeated_pixels_count_once(spark):
+    m = spark.createDataFrame([(1, 2, 0), (1, 3, 0), (1, 3, 0), (1, 5, 0)], "image_id int, x int, y int")
+    assert sorted(tuple(r) for r in M.to_runs(m).select("x0", "x1").collect()) == [(2, 3), (5, 5)]
+    assert M.mask_iou(m, m, m.select("image_id").distinct()).first().iou == 1.0
+
+
+def test_overlays_move_runs_not_pixels(spark):
+    """Two rows of a million pixels each: a handful of events."""
+    a = spark.createDataFrame([(1, 0, 0, 999_999), (1, 0, 1, 999_999)], "image_id int, x0 int, y int, x1 int")
+    b = spark.createDataFrame([(1, 500_000, 0, 2_000_000)], "image_id int, x0 int, y int, x1 int")
+    parts = M.overlay(a, b)
+    assert parts.count() == 4
+    assert M.run_iou(a, b, spark.createDataFrame([(1,)], "image_id int")).first().iou == 500_000 / 3_000_001
