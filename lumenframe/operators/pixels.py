@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions import color as K
 from lumenframe.plans.quantiles import exact_quantiles
+from lumenframe.plans.tiles import box_sums, laplacian_of, over_tiles, together
 
 # Names of the style metrics, and below the words of advice.
 METRICS_601 = (
@@ -449,17 +450,8 @@ def near_white_shift(
 
 
 def laplacian(plane: DataFrame, value: str, keys: Sequence[str] = ("image",)) -> DataFrame:
-    """4-neighbour Laplacian, mirrored at the border; windows are single rows and columns."""
-    across = Window.partitionBy(*keys, "y").orderBy("x")
-    down = Window.partitionBy(*keys, "x").orderBy("y")
-
-    def pair(w) -> Column:
-        before, after = F.lag(value).over(w), F.lead(value).over(w)
-        return F.coalesce(before, after, F.col(value)) + F.coalesce(after, before, F.col(value))
-
-    rows = plane.withColumn("__h", pair(across))
-    rows = rows.withColumn("__v", pair(down))
-    return rows.withColumn("lap", F.col("__h") + F.col("__v") - 4 * F.col(value)).drop("__h", "__v")
+    """``keys``, ``x``, ``y``, ``lap``: the 4-neighbour Laplacian, mirrored at the border."""
+    return over_tiles(plane, keys, [value], laplacian_of(value), {"lap": "double"}, 1)
 
 
 def sharpness(plane: DataFrame, value: str, keys: Sequence[str] = ("image",)) -> DataFrame:
@@ -508,29 +500,11 @@ def image_diff_metrics(pairs: DataFrame) -> DataFrame:
     )
 
 
-def ssim_map(pairs: DataFrame, win: int = 7, keys: Sequence[str] = ("image",)) -> DataFrame:
-    """Structural similarity of two grey planes ``a`` and ``b`` on full windows only.
+_SUMS = dict.fromkeys(("sa", "sb", "saa", "sbb", "sab"), "bigint")
 
-    Border pixels, whose window would leave the image, are not reported.
-    """
-    half, area = win // 2, win * win
-    moments = {
-        "a": F.col("a"),
-        "b": F.col("b"),
-        "aa": F.col("a") * F.col("a"),
-        "bb": F.col("b") * F.col("b"),
-        "ab": F.col("a") * F.col("b"),
-    }
-    across = Window.partitionBy(*keys, "y").orderBy("x").rowsBetween(-half, half)
-    down = Window.partitionBy(*keys, "x").orderBy("y").rowsBetween(-half, half)
-    rows = pairs.select(
-        *keys, "x", "y", *[F.sum(v.cast("long")).over(across).alias(f"s{k}") for k, v in moments.items()],
-        F.count(F.lit(1)).over(across).alias("nx"),
-    )
-    boxes = rows.where(F.col("nx") == win).select(
-        *keys, "x", "y", *[F.sum(f"s{k}").over(down).alias(f"s{k}") for k in moments], F.count(F.lit(1)).over(down).alias("ny")
-    )
-    full = boxes.where(F.col("ny") == win)
+
+def _similarity(win: int) -> Column:
+    area = win * win
     c1, c2 = (0.01 * 255) ** 2, (0.03 * 255) ** 2
     norm = area / (area - 1)
     ma, mb = F.col("sa") / area, F.col("sb") / area
@@ -539,7 +513,36 @@ def ssim_map(pairs: DataFrame, win: int = 7, keys: Sequence[str] = ("image",)) -
     vab = (F.col("sab") / area - ma * mb) * norm
     top = (2 * ma * mb + c1) * (2 * vab + c2)
     bottom = (ma * ma + mb * mb + c1) * (va + vb + c2)
-    return full.select(*keys, "x", "y", (top / bottom).alias("ssim"))
+    return top / bottom
+
+
+def ssim_map(pairs: DataFrame, win: int = 7, keys: Sequence[str] = ("image",), mirrored: bool = False) -> DataFrame:
+    """Structural similarity of two grey planes ``a`` and ``b``, from exact window sums.
+
+    Border pixels, whose window would leave the image, are left out; with ``mirrored`` the image is
+    reflected about its edges (the edge pixel repeated) and every pixel is reported.
+    """
+    sums = over_tiles(pairs, keys, ["a", "b"], box_sums("a", "b", win, mirrored), _SUMS, win // 2)
+    return sums.where("sa IS NOT NULL").select(*keys, "x", "y", _similarity(win).alias("ssim"))
+
+
+def pair_metrics(pairs: DataFrame, threshold: float, win: int = 7, keys: Sequence[str] = ("image",), mirrored: bool = False) -> DataFrame:
+    """``keys``, ``ssim``, ``changed`` and the sharpness of both planes, from one pass over the tiles of both."""
+    names = {"a": "lap_a", "b": "lap_b"}
+    laps = [lambda dense, there, v=v, n=n: {n: laplacian_of(v)(dense, there)["lap"]} for v, n in names.items()]
+    outputs = {**_SUMS, "lap_a": "double", "lap_b": "double"}
+    got = over_tiles(pairs, keys, ["a", "b"], together(box_sums("a", "b", win, mirrored), *laps), outputs, win // 2)
+    got = got.withColumn("__s", F.when(F.col("sa").isNotNull(), _similarity(win)))
+
+    def spread(lap: str) -> Column:
+        v = F.col(lap).cast("long")
+        mean = F.sum(v) / F.count(F.lit(1))
+        return F.sum(v * v) / F.count(F.lit(1)) - mean * mean
+
+    return got.groupBy(*keys).agg(
+        F.round(F.avg("__s"), 9).alias("ssim"), F.count_if(1 - F.col("__s") > threshold).alias("changed"),
+        spread("lap_a").alias("sharpness_a"), spread("lap_b").alias("sharpness_b"),
+    )
 
 
 def ssim_mean(ssim: DataFrame, threshold: float, keys: Sequence[str] = ("image",)) -> DataFrame:

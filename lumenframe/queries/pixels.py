@@ -455,3 +455,30 @@ def _(spark, sf):
 @query("a29_ssim_mean", _SSIM + " SELECT image, round(avg(ssim), 9) AS ssim, count_if(1 - ssim > 0.95::DOUBLE) AS changed FROM sm GROUP BY image", "gray")
 def _(spark, sf):
     return X.ssim_mean(X.ssim_map(_gray_pairs(spark, sf)), 0.95)
+
+
+_REFLECT = """, pr AS (SELECT a.image_id // 2 AS image, a.x, a.y, a.g AS a, b.g AS b FROM gray a JOIN gray b ON a.image_id % 2 = 0 AND b.image_id = a.image_id + 1 AND b.x = a.x AND b.y = a.y),
+  w AS (SELECT image, x, y, x + dx AS px, y + dy AS py FROM pr, range(-3, 4) i(dx), range(-3, 4) j(dy)),
+  rf AS (SELECT image, x, y, CASE WHEN px < 0 THEN -1 - px WHEN px > 7 THEN 15 - px ELSE px END AS px, CASE WHEN py < 0 THEN -1 - py WHEN py > 7 THEN 15 - py ELSE py END AS py FROM w),
+  bx AS (SELECT rf.image, rf.x, rf.y, sum(a) AS sa, sum(b) AS sb, sum(a * a) AS saa, sum(b * b) AS sbb, sum(a * b) AS sab FROM rf JOIN pr ON pr.image = rf.image AND pr.x = rf.px AND pr.y = rf.py GROUP BY rf.image, rf.x, rf.y),
+  mo AS (SELECT *, sa / 49 AS ma, sb / 49 AS mb, (saa / 49 - (sa / 49) * (sa / 49)) * (49 / 48) AS va, (sbb / 49 - (sb / 49) * (sb / 49)) * (49 / 48) AS vb,
+    (sab / 49 - (sa / 49) * (sb / 49)) * (49 / 48) AS vab FROM bx),
+  sm AS (SELECT image, x, y, ((2 * ma * mb + 6.5025::DOUBLE) * (2 * vab + 58.5225::DOUBLE)) / ((ma * ma + mb * mb + 6.5025::DOUBLE) * (va + vb + 58.5225::DOUBLE)) AS ssim FROM mo)"""
+
+
+@query("a29_ssim_mirrored", _REFLECT + " SELECT image, x, y, round(ssim, 9) AS ssim FROM sm", "gray")
+def _(spark, sf):
+    return X.ssim_map(_gray_pairs(spark, sf), mirrored=True).withColumn("ssim", F.round("ssim", 9))
+
+
+@query(
+    "a29_pair_metrics",
+    _REFLECT
+    + _lap_sql("gray", "g", "image_id")
+    + """, ss AS (SELECT image, round(avg(ssim), 9) AS ssim, count_if(1 - ssim > 0.95::DOUBLE) AS changed FROM sm GROUP BY image)
+      SELECT image, ssim, changed, round(a.sharpness, 6) AS sharpness_a, round(b.sharpness, 6) AS sharpness_b FROM ss JOIN sh a ON a.image_id = 2 * image JOIN sh b ON b.image_id = 2 * image + 1""",
+    "gray",
+)
+def _(spark, sf):
+    got = X.pair_metrics(_gray_pairs(spark, sf), 0.95, mirrored=True)
+    return got.select("image", "ssim", "changed", *[F.round(n, 6).alias(n) for n in ("sharpness_a", "sharpness_b")])
