@@ -91,29 +91,27 @@ DETECTIONS = T.StructType(
 def first_object(text: Column) -> Column:
     """The first balanced ``{...}`` of a text, NULL when there is none.
 
-    The text is cut before every brace, so the fold has one step per brace.
+    The text is cut before every brace; the fold has one step per brace and carries the depth and three
+    positions, and the object is cut from the text once.
     """
     pieces = F.split(text, r"(?=[{}])")
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("closed"))
+    none = F.lit(None).cast("int")
+    start = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("at"), none.alias("begin"), none.alias("end"))
 
     def step(s: Column, piece: Column) -> Column:
         lead = F.substring(piece, 1, 1)
         opens, closes = lead == "{", lead == "}"
-        ends = closes & (s["depth"] == 1)
-        skip = s["closed"] | ((s["depth"] == 0) & ~opens)
+        skip = s["end"].isNotNull() | ((s["depth"] == 0) & ~opens)
+        ends = ~skip & closes & (s["depth"] == 1)
         return F.struct(
-            F.when(skip, s["depth"]).otherwise(
-                s["depth"] + opens.cast("int") - closes.cast("int")
-            ).alias("depth"),
-            F.when(skip, s["text"])
-            .when(ends, F.concat(s["text"], F.lit("}")))
-            .otherwise(F.concat(s["text"], piece))
-            .alias("text"),
-            (s["closed"] | (~skip & ends)).alias("closed"),
+            F.when(skip, s["depth"]).otherwise(s["depth"] + opens.cast("int") - closes.cast("int")).alias("depth"),
+            (s["at"] + F.length(piece)).alias("at"),
+            F.when(~skip & opens & (s["depth"] == 0), s["at"]).otherwise(s["begin"]).alias("begin"),
+            F.when(ends, s["at"]).otherwise(s["end"]).alias("end"),
         )
 
     done = F.aggregate(pieces, start, step)
-    return F.when(done["closed"], done["text"])
+    return F.when(done["end"].isNotNull(), F.substr(text, done["begin"], done["end"] - done["begin"] + 1))
 
 
 def salvage_detections(text: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenframe.functions import capture as C
+from lumenframe.plans.lineage import stored
 from lumenframe.plans.ordered import number_slot, numbered_runs, time_slot
 
 MID_LIMIT = 1.0
@@ -196,6 +197,55 @@ def _windows(frames: DataFrame) -> DataFrame:
     )
 
 
+_CHAIN = 64
+
+
+def _walked(entry: Column, first: Column) -> Column:
+    """The maps ``m`` of a group of blocks walked from state ``entry``: last block, state behind it, and the states on entry.
+
+    A block without a map leaves nothing taken.
+    """
+    seen = F.array().cast("array<struct<block:bigint,state:bigint>>")
+    start = F.struct((first - 1).alias("block"), entry.cast("long").alias("state"), seen.alias("seen"))
+
+    def link(acc: Column, m: Column) -> Column:
+        state = F.when(m["block"] == acc["block"] + 1, acc["state"]).otherwise(F.lit(0).cast("long"))
+        after = F.when(state == 0, m["s0"]).when(state == 1, m["s1"]).otherwise(m["s2"]).cast("long")
+        here = F.struct(m["block"].alias("block"), state.alias("state"))
+        return F.struct(m["block"].alias("block"), after.alias("state"), F.concat(acc["seen"], F.array(here)).alias("seen"))
+
+    return F.aggregate("m", start, link)
+
+
+def _entry_states(maps: DataFrame) -> DataFrame:
+    """``shoot``, ``block``, ``state``: how many counters are taken where each block begins.
+
+    Maps of 64 blocks are composed to one, as often as it takes to have one per shoot; the states then come
+    down level by level, so no row holds more than 64 blocks.
+    """
+    maps = stored(maps, "block-maps")
+    top, levels, level = maps.agg(F.max("block")).first()[0] or 0, [], maps
+    while True:
+        group = F.floor(F.col("block") / _CHAIN).cast("long")
+        packed = level.groupBy("shoot", group.alias("group")).agg(F.sort_array(F.collect_list(F.struct("block", "s0", "s1", "s2"))).alias("m"))
+        levels.append(packed)
+        top //= _CHAIN
+        if not top:
+            break
+        first = F.col("group") * _CHAIN
+
+        def behind(i: int) -> Column:
+            end = _walked(F.lit(i), first)
+            return F.when(end["block"] == first + _CHAIN - 1, end["state"]).otherwise(F.lit(0).cast("long"))
+
+        level = packed.select("shoot", F.col("group").alias("block"), *[behind(i).alias(f"s{i}") for i in range(3)])
+    state = levels[-1].select("shoot", "group", F.lit(0).cast("long").alias("state"))
+    for packed in reversed(levels):
+        rows = packed.join(state, ["shoot", "group"])
+        state = rows.select("shoot", F.inline(_walked(F.col("state"), F.col("group") * _CHAIN)["seen"])).withColumnRenamed("block", "group")
+    return state.withColumnRenamed("group", "block")
+
+
 def sliding_triplets(frames: DataFrame, width: int = 4096) -> DataFrame:
     """Triplets and failures of the counter mode: a hit consumes three counters, a miss one.
 
@@ -218,24 +268,7 @@ def sliding_triplets(frames: DataFrame, width: int = 4096) -> DataFrame:
     after = [
         F.greatest(free_after(first + i) - (first + width), F.lit(0)).alias(f"s{i}") for i in range(3)
     ]
-    maps = hits.select("shoot", "block", *after)
-    chain = maps.groupBy("shoot").agg(F.sort_array(F.collect_list(F.struct("block", "s0", "s1", "s2"))).alias("m"))
-    start = F.struct(
-        F.lit(None).cast("long").alias("block"),
-        F.lit(0).cast("long").alias("state"),
-        F.array().cast("array<struct<block:bigint,state:bigint>>").alias("seen"),
-    )
-
-    def link(acc: Column, m: Column) -> Column:
-        state = F.when(m["block"] == acc["block"] + 1, acc["state"]).otherwise(F.lit(0).cast("long"))
-        after = F.when(state == 0, m["s0"]).when(state == 1, m["s1"]).otherwise(m["s2"]).cast("long")
-        return F.struct(
-            m["block"].alias("block"),
-            after.alias("state"),
-            F.concat(acc["seen"], F.array(F.struct(m["block"].alias("block"), state.alias("state")))).alias("seen"),
-        )
-
-    entry = chain.select("shoot", F.inline(F.aggregate("m", start, link)["seen"]))
+    entry = _entry_states(hits.select("shoot", "block", *after))
     taken0 = F.struct((first + F.col("state")).alias("free"), F.array().cast("array<bigint>").alias("took"))
 
     def take(acc: Column, s: Column) -> Column:

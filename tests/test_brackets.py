@@ -115,6 +115,15 @@ def test_counter_mode_consumes_like_a_walk(spark, width):
     assert [(r.start, short[r.verdict]) for r in got] == walk(evs, skip)
 
 
+@pytest.mark.parametrize("chain", [2, 3])
+def test_blocks_are_chained_by_levels(spark, monkeypatch, chain):
+    monkeypatch.setattr(B, "_CHAIN", chain)
+    pattern = [-2.0, 0.0, 2.0, -2.0, 0.0, 2.0, 0.5, -2.0, 0.0, 2.0, 3.0, 0.0, -1.0, 2.0, 0.0]
+    evs, skip = pattern * 4, {17, *range(31, 40)}
+    got = B.sliding_triplets(counters(spark, evs, skip), 2).orderBy("start").collect()
+    assert [r.start for r in got] == [a for a, _ in walk(evs, skip)]
+
+
 def test_catalog_prefers_raw_and_keeps_free_names(spark):
     names = ["DSC02600.JPG", "DSC02600.ARW", "IMG_0007.jpg", "Photo May 04.arw", "notes.txt", "dsc02601.dng"]
     got = B.frame_catalog(spark.createDataFrame([(1, n) for n in names], "shoot bigint, name string")).collect()

@@ -39,6 +39,8 @@ def test_parse_ev(spark, text, ev):
         ('{"detections":[', []),
         ("{'detections':[]}", []),
         ("nothing", []),
+        ('é🙂 }} {"detections":[{"label":"{"}]', []),
+        ('🙂{"detections":[{"label":"é🙂"}]}}{', ["é🙂"]),
         ("", []),
     ],
 )
@@ -51,6 +53,11 @@ def test_salvage_reads_past_a_very_long_preamble(spark):
     assert [d["label"] for d in one(spark, R.salvage_detections(F.lit(text)))] == ["far"]
 
 
+def test_salvage_of_very_many_braces(spark):
+    text = "}" * 30_000 + '{"detections":[' + ",".join('{"label":"x"}' for _ in range(30_000)) + "]} {"
+    assert len(one(spark, R.salvage_detections(F.lit(text)))) == 30_000
+
+
 def test_bad_boxes_raise(spark):
     with pytest.raises(Exception, match="four numbers"):
         one(spark, R.pixel_box_from_corners(F.array(F.lit(0.1), F.lit(0.2)), F.lit(10.0), F.lit(10.0)))
