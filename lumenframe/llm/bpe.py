@@ -57,7 +57,8 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
 
     NULL and empty texts have no tokens; both digests are then those of the empty string.  Rows
     are kept one to one, repeated and NULL ids included.  Special tokens do not exist: their
-    strings are ordinary text.  ``decoded_sha256`` is that of the decoded bytes.
+    strings are ordinary text.  ``decoded_sha256`` is that of the decoded bytes.  Texts of any length are
+    encoded whole; an empty table gives no row; further columns, whatever their names, are not read.
     """
     ranks, pattern = ranks or default_ranks(), pattern or public_tokenizers.PATTERN
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

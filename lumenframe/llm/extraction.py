@@ -165,7 +165,8 @@ def extract(pages: DataFrame, field: Field | None = None, html: str = "html") ->
 
     Character references are decoded, white space inside a block becomes one space, blocks are
     joined by line feeds in page order.  NULL and empty pages, and pages without main text, give the
-    empty text.  Repeated rows stay.
+    empty text.  Repeated rows stay.  A page of any length or depth is read whole, at a cost in proportion
+    to it; an empty table gives no row; further columns, whatever their names, are not read.
     """
     field = field or default_field()
     rows = pages.select("page_id", "url", F.coalesce(html, F.lit("")).alias("html"))

@@ -154,7 +154,11 @@ def compare_next(docs: DataFrame, key: str = "doc_id", text: str = "text", per_s
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``mark`` (hash of the text), ``n`` (shingles), ``cls`` (digest of their set), ``signature``, ``bands``."""
+    """``key``, ``mark`` (hash of the text), ``n`` (shingles), ``cls`` (digest of their set), ``signature``, ``bands``.
+
+    A row per row: NULL and repeated keys stay, NULL text is empty and has no ``cls`` and no ``bands``; a text
+    of any length is read whole; an empty table gives no row; further columns are not read.
+    """
     rows = docs.select(key, F.xxhash64(text).alias("mark"), F.coalesce(text, F.lit("")).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
 
@@ -181,7 +185,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     """``key``, ``mark``, ``group``: rows whose texts are linked share a group (NULL: no shingles).
 
     Bands of four minima meet in Spark; links are confirmed on the full sets, ``percent`` or more of
-    the union.  Equal texts are in one group.
+    the union.  Equal texts are in one group; a NULL or repeated key is carried as it is; an empty table
+    gives no row; further columns, whatever their names, are not read.
     """
     signed = stash(fingerprint(docs, key, text), "fingerprints")
     rep = F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), "mark"))

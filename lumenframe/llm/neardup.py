@@ -249,8 +249,8 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     Texts link if ``100 * common >= percent * union`` over their shingle sets; ``component_id`` is the
     smallest key reachable.  NULL texts and texts without words link to nothing: they are their own
     component and kept.  Of rows with equal texts the smallest key is kept; rows repeated whole are
-    all kept or all not.  A NULL key is kept only where no other key is reachable.  An empty table
-    gives no row.
+    all kept or all not.  A NULL key is kept only where no other key is reachable.  Texts of any length
+    are read whole.  An empty table gives no row.  Further columns, whatever their names, are not read.
     """
     signed = stash(sign(docs, key, text), "signed")
     rep = F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), "mark"))

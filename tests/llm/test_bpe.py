@@ -39,5 +39,15 @@ def test_rows_and_round_trip(spark, make_docs, enc):
     assert raw[4] == texts[4].encode()
 
 
+def test_clashing_columns_change_nothing(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    docs = make_docs([(1, "some text"), (None, "some text")])
+    more = docs
+    for name in ("ids", "n_tokens", "ids_sha256", "bytes", "decoded_sha256"):
+        more = more.withColumn(name, F.lit("clash"))
+    assert sorted(map(str, bpe.encode(more).collect())) == sorted(map(str, bpe.encode(docs).collect()))
+
+
 def test_empty_table(make_docs):
     assert bpe.encode(make_docs([])).collect() == []

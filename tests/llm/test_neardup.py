@@ -127,3 +127,16 @@ def test_components_equal_union_find(spark):
         for a, b in edges:
             want[a] = want[b] = min(want[a], want[b])
     assert got == want
+
+
+def test_clashing_columns_change_nothing(make_docs):
+    from pyspark.sql import functions as F
+
+    rows = [(i, " ".join(f"w{(i // 3) * 100 + k}" for k in range(60)) + f" x{i % 3}") for i in range(30)]
+    docs = make_docs(rows)
+    more = docs
+    for name in ("mark", "cls", "bands", "n", "node", "root", "hub", "component_id", "kept", "__k", "__m", "__h"):
+        more = more.withColumn(name, F.lit("clash"))
+    assert sorted(map(str, neardup.group(more).collect())) == sorted(map(str, neardup.group(docs).collect()))
+    kept = neardup.dedupe(more, ["doc_id", "text", "cls"]).collect()
+    assert sorted(r.doc_id for r in kept) == [i for i in range(30) if i % 3 == 0] and {r.cls for r in kept} == {"clash"}

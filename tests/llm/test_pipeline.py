@@ -70,3 +70,14 @@ def test_stages_on_an_empty_table_and_nulls(spark, make_docs):
     for docs in (make_docs([]), make_docs([(None, None, None, None), (1, "", None), (1, "", None)])):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, FOLDER).count() <= 3
+
+
+def test_stages_drop_columns_that_clash(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    docs = make_docs([(i, f"w{i} " + " ".join(f"v{i}x{k}" for k in range(60)) + " token=abcdef1", "s") for i in range(5)])
+    more = docs
+    for name in ("host", "copy", "stats", "kept", "mark", "cls", "blob", "spans", "before", "doc", "leaf", "turn", "ids"):
+        more = more.withColumn(name, F.lit("clash"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert sorted(map(str, stage(spark, more, FOLDER).collect())) == sorted(map(str, stage(spark, docs, FOLDER).collect()))
