@@ -1,7 +1,9 @@
 """The corpus pipeline: documents through the training-data operators, one stage after another.
 
 Every stage takes the documents that the stage before it kept and returns the columns of
-``documents``; the last returns token ids.  NULL texts and hosts are handled as the operators say.
+``documents``; the last returns token ids.  NULL texts and hosts, repeated rows, ties and texts of any
+length are handled as the operators say; an empty table stays empty; columns beside those of
+``documents``, whatever their names, are not read and go.
 """
 
 from __future__ import annotations
