@@ -30,9 +30,12 @@ def word_count(text: Column) -> Column:
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: no lineage, no second computation."""
+    """``df`` written to the shared folder and read back: no lineage, no second computation.
+
+    Such tables stay until the job is over and often hold texts, so they are compressed well.
+    """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
